@@ -33,10 +33,14 @@ def uuid_parts(uuid: Column | str) -> Column:
 
 
 def product_uuid(upc: Column | str, sku: Column | str, source_store: Column | str) -> Column:
-    """`upc<>sku<>source<>store`, source and store being the last two `_` parts."""
-    words = F.split(_column(source_store), "_")
-    source, store = (F.get(words, F.size(words) - i) for i in (2, 1))
-    return _joined(_column(upc).cast("string"), _column(sku).cast("string"), source, store)
+    """`upc<>sku<>source<>store`, source and store being the last two `_` parts.
+
+    Null if the store has no two parts.
+    """
+    store = _column(source_store)
+    tail = F.replace(F.substring_index(store, "_", -2), F.lit("_"), F.lit(SEPARATOR))
+    return _joined(_column(upc).cast("string"), _column(sku).cast("string"),
+                   F.when(store.contains("_"), tail))
 
 
 def is_placeholder(value: Column | str) -> Column:

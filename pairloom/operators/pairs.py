@@ -89,22 +89,22 @@ def prune_rejected(df: DataFrame, rejects: DataFrame, keys: Sequence[str] = JOIN
                    undirected: bool = True) -> DataFrame:
     """Pairs that are not among the rejects, in either direction when undirected.
 
-    Keys compare in lower case, and a pair with a null key is never rejected. Such pairs get a
-    third join key by row hash, so that they do not all meet in the partition of the null key.
+    Keys compare in lower case, and a pair with a null key is never rejected. A third join key
+    sees to that: 0 for whole pairs, and for the others -1 among the rejects and a positive row
+    hash among the pairs, so that these do not all meet in one partition. With no join key
+    nullable, no filter on the key expressions is pushed into the scans either.
     """
-    def join_keys(spread: Column) -> dict[str, Column]:
+    def join_keys(otherwise: Column) -> dict[str, Column]:
         a, b = (F.lower(k) for k in keys)
-        whole = a.isNotNull() & b.isNotNull()
         low, high = canonical(a, b) if undirected else (a, b)
-        return {"_low": F.when(whole, low), "_high": F.when(whole, high),
-                "_spread": F.when(whole, 0).otherwise(spread)}
+        return {"_low": F.coalesce(low, F.lit("")), "_high": F.coalesce(high, F.lit("")),
+                "_whole": F.when(a.isNotNull() & b.isNotNull(), 0).otherwise(otherwise)}
 
     columns = df.columns
-    spread = F.pmod(F.xxhash64(*columns), F.lit(_NULL_SPREAD)).cast("int")
-    known = (rejects.where(F.col(keys[0]).isNotNull() & F.col(keys[1]).isNotNull())
-             .select(*[c.alias(n) for n, c in join_keys(F.lit(0)).items()]).distinct())
+    spread = (1 + F.pmod(F.xxhash64(*columns), F.lit(_NULL_SPREAD))).cast("int")
+    known = rejects.select(*[c.alias(n) for n, c in join_keys(F.lit(-1)).items()]).distinct()
     return (df.withColumns(join_keys(spread))
-            .join(known, ["_low", "_high", "_spread"], "left_anti").select(*columns))
+            .join(known, ["_low", "_high", "_whole"], "left_anti").select(*columns))
 
 
 def rewrite_alias(df: DataFrame, columns: Sequence[str] = tuple(c for s in SIDES for c in s),

@@ -1,0 +1,46 @@
+import pytest
+from pyspark.sql import functions as F
+
+from pairloom.operators import route
+from pairloom.rules import Rule
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+@pytest.fixture
+def words(spark):
+    return spark.createDataFrame([("ab",), ("a",), ("b",), ("c",), (None,)], "w string")
+
+
+def rule(word, **labels):
+    return Rule(F.col("w").contains(word), labels)
+
+
+def test_a_track_takes_its_first_hit(words):
+    got = route(words, [[rule("a", kind="A"), rule("b", kind="B")]])
+    assert rows(got) == [("a", "A"), ("ab", "A"), ("b", "B")]
+
+
+def test_tracks_overlap(words):
+    got = route(words, [[rule("a", kind="A")], [rule("b", kind="B")]])
+    assert rows(got) == [("a", "A"), ("ab", "A"), ("ab", "B"), ("b", "B")]
+
+
+def test_labels_replace_columns_and_may_be_null(words):
+    tagged = words.withColumn("kind", F.lit("old"))
+    got = route(tagged, [[rule("a", kind=None)], [rule("b", kind="B")]])
+    assert got.columns == ["w", "kind"]
+    assert sorted(got.collect(), key=str) == sorted(
+        [("a", None), ("ab", None), ("ab", "B"), ("b", "B")], key=str)
+
+
+def test_a_negated_test_drops_nulls(words):
+    got = route(words, [[Rule(~F.col("w").contains("a"), {"kind": "other"})]])
+    assert rows(got) == [("b", "other"), ("c", "other")]
+
+
+def test_labels_must_agree(words):
+    with pytest.raises(ValueError):
+        route(words, [[rule("a", kind="A")], [rule("b", other="B")]])

@@ -353,7 +353,7 @@ ORACLES: dict[str, str] = {
     "scan_table": pairs_sql("SELECT * FROM fx_pairs"),
     "scan_json_dir": _REVIEW_ROWS,
     "scan_small_files": _REVIEW_ROWS,
-    "resolve_types_of_pairs": snapshots_sql(
+    "resolve_types": snapshots_sql(
         "SELECT o_orderkey AS order_text, CAST(CASE WHEN run_no <> 1 THEN o_custkey END AS "
         "INTEGER) AS cust_text, CAST(run_no AS STRING) AS run_no FROM fx_snapshots"),
     "latest_partition": snapshots_sql(
@@ -385,7 +385,7 @@ ORACLES: dict[str, str] = {
     "count_rows": pairs_sql("SELECT count(*) AS row_count FROM fx_pairs"),
 
     # Projections
-    "conform_pairs": pairs_sql(f"SELECT {FEED_COLUMNS} FROM fx_pairs"),
+    "conform": pairs_sql(f"SELECT {FEED_COLUMNS} FROM fx_pairs"),
     "drop_cols": pairs_sql("SELECT feed, uuid_a, uuid_b, score, domain FROM fx_pairs"),
     "rename_cols": pairs_sql(
         "SELECT feed, uuid_a, uuid_b, day, month, year, score AS scores, domain AS segment "

@@ -38,7 +38,8 @@ RUN_DAY = "1997-03-04"
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    """Register under the function's name, less a closing underscore."""
+    QUERIES[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -124,7 +125,7 @@ def scan_small_files(spark, sf):
 
 
 @query
-def resolve_types_of_pairs(spark, sf):
+def resolve_types_(spark, sf):
     unread = _snapshots(spark, sf).select(
         F.col("o_orderkey").cast("string").alias("order_text"),
         F.when(F.col("run_no") == 1, "n/a").otherwise(F.col("o_custkey").cast("string"))
@@ -198,8 +199,7 @@ def write_warehouse_json(spark, sf):
 def write_split(spark, sf):
     def write(path):
         sources.write_split(warehouse_from_sources(spark, sf),
-                            {(EXACT, SIMILAR): f"{path}/matches", (REJECT,): f"{path}/rejects"},
-                            stage=f"{path}/stage")
+                            {(EXACT, SIMILAR): f"{path}/matches", (REJECT,): f"{path}/rejects"})
     path = _copy(spark, sf, "split", write)
     return op.tag(sources.read_warehouse(spark, f"{path}/matches"), target="matches").unionByName(
         op.tag(sources.read_warehouse(spark, f"{path}/rejects"), target="rejects"))
@@ -218,7 +218,7 @@ def count_rows(spark, sf):
 # ---- Projections ------------------------------------------------------------------------
 
 @query
-def conform_pairs(spark, sf):
+def conform_(spark, sf):
     return conform(_pairs(spark, sf).withColumn("score", F.col("score").cast("int")), FEED)
 
 

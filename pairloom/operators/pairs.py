@@ -93,17 +93,28 @@ def prune_rejected(df: DataFrame, rejects: DataFrame, keys: Sequence[str] = JOIN
     sees to that: 0 for whole pairs, and for the others -1 among the rejects and a positive row
     hash among the pairs, so that these do not all meet in one partition. With no join key
     nullable, no filter on the key expressions is pushed into the scans either.
+
+    The rejects are made distinct on other columns than those joined on. Were they the same, the
+    join would take over the partitioning of that step, and adaptive execution splits a hot pair
+    only between a join and shuffles of its own.
     """
-    def join_keys(otherwise: Column) -> dict[str, Column]:
+    def ordered() -> tuple[Column, Column, Column]:
         a, b = (F.lower(k) for k in keys)
         low, high = canonical(a, b) if undirected else (a, b)
+        return low, high, a.isNotNull() & b.isNotNull()
+
+    def join_keys(low: Column, high: Column, whole: Column, otherwise: Column) -> dict:
         return {"_low": F.coalesce(low, F.lit("")), "_high": F.coalesce(high, F.lit("")),
-                "_whole": F.when(a.isNotNull() & b.isNotNull(), 0).otherwise(otherwise)}
+                "_whole": F.when(whole, 0).otherwise(otherwise)}
 
     columns = df.columns
     spread = (1 + F.pmod(F.xxhash64(*columns), F.lit(_NULL_SPREAD))).cast("int")
-    known = rejects.select(*[c.alias(n) for n, c in join_keys(F.lit(-1)).items()]).distinct()
-    return (df.withColumns(join_keys(spread))
+    low, high, whole = ordered()
+    known = (rejects.select(F.when(whole, low).alias("_l"), F.when(whole, high).alias("_h"))
+             .distinct()
+             .select(*[c.alias(n) for n, c in join_keys(
+                 F.col("_l"), F.col("_h"), F.col("_l").isNotNull(), F.lit(-1)).items()]))
+    return (df.withColumns(join_keys(low, high, whole, spread))
             .join(known, ["_low", "_high", "_whole"], "left_anti").select(*columns))
 
 
@@ -125,12 +136,13 @@ def mirror_pairs(df: DataFrame, swaps: Sides = SIDES) -> DataFrame:
 
 
 def combine(frames: Sequence[DataFrame]) -> DataFrame:
-    """Union of labelled frames."""
-    return union_conformed(frames, LABELLED)
+    """Union of labelled frames. One without priorities gets its position as such."""
+    return union_conformed([f if "priority" in f.columns else f.withColumn("priority", F.lit(i))
+                            for i, f in enumerate(frames)], LABELLED)
 
 
 def _by_position(frames: Sequence[DataFrame]) -> DataFrame:
-    return combine([f.withColumn("priority", F.lit(i)) for i, f in enumerate(frames)])
+    return combine([f.drop("priority") for f in frames])
 
 
 def combine_matches(frames_in_priority_order: Sequence[DataFrame]) -> DataFrame:
@@ -165,7 +177,7 @@ def settle_pairs(labelled: DataFrame, prune: bool = False, undirected: bool = Fa
              "_turned": F.lit(False)})
 
     row = F.struct(*_ranked(("priority", "match_timestamp"), payload))
-    is_reject = F.col("type") == REJECT
+    is_reject = F.coalesce(F.col("type") == REJECT, F.lit(False))
     kinds = {"match": ~is_reject, "reject": is_reject}
     directions = {"forward": ~F.col("_turned"), "back": F.col("_turned")}
     if undirected:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-#: Bytes of input behind one shuffle partition before adaptive execution merges small ones.
-_BYTES_PER_PARTITION = 128 << 20
+_TASK_BYTES = 128 << 20
 _LEAST_PARTITIONS = 200
+#: With more tasks than this on both sides of a shuffle, its block table outgrows the driver.
+_MOST_PARTITIONS = 100_000
 
 
 def settings_for(input_bytes: int) -> dict[str, str]:
@@ -14,15 +15,21 @@ def settings_for(input_bytes: int) -> dict[str, str]:
 
     Adaptive execution merges shuffle partitions but never adds any to an aggregation, so their
     first number must fit the data: a fixed 200 would put hundreds of GB in a task at 100 TB.
+    Up to 12 TB a task gets 128 MB; beyond, tasks grow instead (1 GB at 100 TB, sorted with
+    spilling). Merged partitions keep to the task size, so that writes yield no tiny files.
     """
-    partitions = max(_LEAST_PARTITIONS, -(-input_bytes // _BYTES_PER_PARTITION))
+    task_bytes = max(_TASK_BYTES, -(-input_bytes // _MOST_PARTITIONS))
+    partitions = max(_LEAST_PARTITIONS, -(-input_bytes // task_bytes))
+    adaptive = "spark.sql.adaptive"
     return {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(_BYTES_PER_PARTITION),
+        "spark.sql.files.maxPartitionBytes": str(task_bytes),
+        f"{adaptive}.enabled": "true",
+        f"{adaptive}.skewJoin.enabled": "true",
+        f"{adaptive}.optimizeSkewsInRebalancePartitions.enabled": "true",
+        f"{adaptive}.coalescePartitions.enabled": "true",
+        f"{adaptive}.coalescePartitions.parallelismFirst": "false",
+        f"{adaptive}.coalescePartitions.initialPartitionNum": str(partitions),
+        f"{adaptive}.advisoryPartitionSizeInBytes": str(_TASK_BYTES),
     }
 
 

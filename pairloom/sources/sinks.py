@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ..schema import LOAD_DATE, WAREHOUSE
+from ..scratch import scratch_dir
 
 #: Reader and writer options by format. CSV must tell null from blank, and keep quotes,
 #: backslashes and outer blanks as they are.
@@ -70,13 +71,16 @@ def write_warehouse(df: DataFrame, target: str, fmt: str = "parquet",
         writer.mode("error" if dynamic else mode).partitionBy(*partitions).saveAsTable(target)
 
 
-def write_split(df: DataFrame, targets_by_type: Mapping[tuple[str, ...], str], stage: str,
-                fmt: str = "parquet", mode: str = "overwrite_partitions") -> None:
+def write_split(df: DataFrame, targets_by_type: Mapping[tuple[str, ...], str],
+                fmt: str = "parquet", mode: str = "overwrite_partitions",
+                stage: str | None = None) -> None:
     """Write each group of types to a target of its own.
 
-    The frame is computed once, into the shared folder `stage`, laid out by type; each target
-    then takes its types from there and reads no other.
+    The frame is computed once, into the folder `stage` (by default one in the cluster's shared
+    scratch folder), laid out by type; each target then takes its types from there and reads no
+    other.
     """
+    stage = stage or scratch_dir(df.sparkSession, "split")
     df.write.mode("overwrite").partitionBy("type").parquet(stage)
     staged = df.sparkSession.read.schema(df.schema).parquet(stage).select(*df.columns)
     for types, target in targets_by_type.items():

@@ -1,9 +1,12 @@
 """Golden rows and edge cases of ids, keys and dates."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from pairloom import functions as ids
+from pairloom.rules import PLACEHOLDERS
 
 GOLDEN_KEYS = [
     # uuid, SKU first, UPC first
@@ -83,3 +86,26 @@ def test_turned_is_never_null(spark):
 def test_replace_all_takes_text_literally(spark):
     assert column(spark, ["a.ba.b", "axb", None], ids.replace_all("v", {"a.b": "c", "cc": "d"})) \
         == ["d", "axb", None]
+
+
+def python_key(uuid, prefer):
+    """The key by its definition, part by part."""
+    parts = uuid.lstrip("0").lower().split("<>")
+    if len(parts) < 4:
+        return None
+    upc, sku, source, store = parts[:4]
+    if sku in PLACEHOLDERS:
+        first = upc
+    elif upc in PLACEHOLDERS:
+        first = sku
+    else:
+        first = sku if prefer == "sku" else upc
+    return f"{first}<>{source}<>{store}"
+
+
+@pytest.mark.parametrize("prefer", ["sku", "upc"])
+def test_join_key_of_random_uuids(spark, prefer):
+    rnd = random.Random(3)
+    words = ["", "0", "00", "012", "NA", "n/A", "●", "Ab_1", "-", "<", ">", "0-", "É", "nan"]
+    uuids = ["<>".join(rnd.choice(words) for _ in range(rnd.randint(1, 6))) for _ in range(2000)]
+    assert column(spark, uuids, ids.join_key("v", prefer)) == [python_key(u, prefer) for u in uuids]

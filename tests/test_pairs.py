@@ -235,3 +235,23 @@ def test_warehouse_keys_are_those_of_two_dedupes_around_the_alias(warehouse_inpu
     mirrored = mirror_pairs(chain.select(*PAIR.names)).select(*JOIN_KEYS)
     assert multiset(mirrored) == multiset(
         direct.where(F.col("type") != REJECT).select(*JOIN_KEYS))
+
+
+def test_rows_of_no_type_are_kept(spark):
+    row = ("ua", "ub", "sa", "sb", "1", "ba", "cb", 5, "upc", None, "pets", 0)
+    assert multiset(settle_pairs(spark.createDataFrame([row], LABELLED))) == multiset([row[:-1]])
+
+
+def test_combine_counts_frames_without_priorities(spark):
+    row = ("ua", "ub", "sa", "sb", "1", "ba", "cb", 5, "upc", "exact_match", "pets")
+    plain = spark.createDataFrame([row], PAIR)
+    got = combine([plain, plain, plain.withColumn("priority", F.lit(9))])
+    assert sorted(r.priority for r in got.collect()) == [0, 1, 9]
+
+
+def test_keys_may_prefer_by_segment(warehouse_inputs):
+    library = warehouse_inputs["library"]
+    mixed = plans.library_pairs(library, F.col("segment") == "pets")
+    apart = plans.library_pairs(library, "sku").where("segment = 'pets'").unionByName(
+        plans.library_pairs(library, "upc").where("segment <> 'pets'"))
+    assert multiset(mixed) == multiset(apart)

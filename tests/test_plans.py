@@ -1,0 +1,154 @@
+"""Physical plans: scans, shuffles, pruning, and what happens to hot keys."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from pairloom import plans, sources
+from pairloom.operators import (
+    dedupe_pairs,
+    earliest_per_pair,
+    prune_rejected,
+    stamp_load_date,
+)
+from pairloom.schema import PAIR
+from pairloom.settings import settings_for
+
+import __spark_entry__ as entry_points
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df):
+    """The plan as adaptive execution left it after a run."""
+    execution = df._jdf.queryExecution()
+    execution.toRdd().count()
+    return execution.executedPlan().toString()
+
+
+def scans(plan):
+    return len(re.findall(r"FileScan parquet", plan))
+
+
+def shuffles(plan):
+    return len(re.findall(r"Exchange hashpartitioning|Exchange rangepart|Exchange RoundRobin|"
+                          r"Exchange SinglePartition", plan))
+
+
+@pytest.mark.parametrize("options", [{}, {"prune": True}, {"undirected": True}])
+def test_warehouse_scans_each_source_once_and_shuffles_once(warehouse_inputs, options):
+    df = plans.warehouse_from_sources(*warehouse_inputs.values(), "2024-01-05", **options)
+    plan = plan_of(df)
+    assert (scans(plan), shuffles(plan)) == (8, 1)
+    assert "Join" not in plan
+
+
+def test_library_is_read_once_for_matches_and_rejects(warehouse_inputs):
+    plan = plan_of(plans.library_pairs(warehouse_inputs["library"]))
+    assert (scans(plan), shuffles(plan)) == (1, 0)
+
+
+def test_feed_reads_and_shuffles_only_what_it_needs(warehouse_inputs):
+    plan = plan_of(plans.feed_matches(warehouse_inputs["feeds"]["upc"], "upc"))
+    assert (scans(plan), shuffles(plan)) == (1, 1)
+    assert "PushedFilters: [In(domain" in plan
+    assert "sku_uuid" not in plan.split("hashpartitioning")[1]
+
+
+def test_library_reads_only_its_columns_and_pushes_the_company(warehouse_inputs):
+    library = warehouse_inputs["library"].withColumn("unused", F.lit(1))
+    plan = plan_of(plans.library_matches(library))
+    assert "Not(EqualTo(company_code,agg_ml))" in plan
+    schema = plan.split("ReadSchema: ")[1]
+    assert "active" not in schema and "base_upc" in schema
+
+
+@pytest.mark.parametrize("name", entry_points.queries())
+def test_no_query_uses_python_rows_or_nested_loops(spark, sf_dir, name):
+    plan = plan_of(entry_points.queries()[name](spark, sf_dir))
+    for operator in ("Python", "BroadcastNestedLoopJoin", "CartesianProduct"):
+        assert operator not in plan
+
+
+def test_domains_prune_partitions_in_one_scan(spark, sf_dir):
+    plan = plan_of(entry_points.queries()["scan_domains"](spark, sf_dir))
+    assert scans(plan) == 1
+    assert re.search(r"PartitionFilters: \[domain#\d+ IN \(pets,office_supplies,grocery\)", plan)
+
+
+def hot_pairs(spark, n):
+    """A third of the rows are one pair; of those, all have one time and half are copies."""
+    i = F.col("id")
+    hot = i % 3 == 0
+    base = spark.range(n).select(
+        F.when(hot & (i % 2 == 0), "copy").otherwise(F.concat(F.lit("u"), i)).alias("uuid_a"),
+        F.lit("b").alias("uuid_b"),
+        F.when(hot, "-<>a<>b").otherwise(F.concat(F.lit("k"), i % 5000)).alias("sku_uuid_a"),
+        F.lit("-<>c<>d").alias("sku_uuid_b"),
+        F.when(hot & (i % 2 == 0), "1").otherwise(F.md5(i.cast("string"))).alias("score"),
+        F.lit("a<>b").alias("base_source_store"), F.lit("c<>d").alias("comp_source_store"),
+        F.when(hot, 5).otherwise(i).alias("match_timestamp"), F.lit("upc").alias("match_source"),
+        F.lit("exact_match").alias("type"), F.lit("pets").alias("segment"))
+    return base.select(*PAIR.names)
+
+
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+}
+
+
+def test_hot_pair_is_combined_before_the_shuffle(spark):
+    plan = plan_of(dedupe_pairs(hot_pairs(spark, 1000)))
+    assert plan.index("partial_min") > plan.index("Exchange hashpartitioning")
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_hot_pair_is_split_in_pruning(spark, conf):
+    conf(SKEW)
+    df = hot_pairs(spark, 90_000)
+    rejects = df.where("sku_uuid_a = 'k7'")
+    pruned = prune_rejected(df, rejects)
+    assert "skew=true" in final_plan(pruned)
+    assert pruned.count() == 90_000 - rejects.count()
+
+
+def test_hot_ties_are_split_in_first_places(spark, conf):
+    conf(SKEW)
+    first = earliest_per_pair(hot_pairs(spark, 90_000))
+    assert "skew=true" in final_plan(first)
+    hot = first.where("sku_uuid_a = '-<>a<>b'")
+    assert hot.count() == 30_000
+
+
+def test_pairs_without_keys_spread_in_pruning(spark, conf):
+    conf({**SKEW, "spark.sql.adaptive.enabled": "false"})
+    df = hot_pairs(spark, 8_000).withColumn("sku_uuid_a", F.lit(None).cast("string"))
+    pruned = prune_rejected(df, hot_pairs(spark, 10))
+    sizes = [r[1] for r in pruned.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 8_000 and len(sizes) > 4
+
+
+def test_rebalance_splits_a_hot_date(spark, conf, tmp_path):
+    conf({"spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB"})
+    dated = stamp_load_date(hot_pairs(spark, 60_000).repartition(8), "2024-01-05")
+    sources.write_warehouse(dated, str(tmp_path / "w"), spread=True)
+    day = tmp_path / "w" / "year=2024" / "month=01" / "day=05"
+    assert len(list(day.glob("part-*"))) > 4
+
+
+def test_settings_follow_the_input(spark, conf):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    task = "spark.sql.files.maxPartitionBytes"
+    assert (settings_for(1 << 30)[key], settings_for(1 << 30)[task]) == ("200", str(128 << 20))
+    assert settings_for(1 << 40)[key] == str(1 << 13)
+    assert 99_000 < int(settings_for(100 << 40)[key]) <= 100_000
+    conf(settings_for(1 << 40))
+    assert shuffles(plan_of(dedupe_pairs(hot_pairs(spark, 100)))) == 1
+    assert dedupe_pairs(hot_pairs(spark, 100)).count() == 67

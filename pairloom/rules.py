@@ -73,6 +73,9 @@ ALIASES = {"chewyinternal": "chewy"}
 MATCH_FAMILIES = (GROCERY, PETS, OFFICE, "reviews", "transitive", "exact_desc", "upc")
 REJECT_FAMILIES = ("library", "reviews")
 
+#: The id a job of this domain prefers in join keys; other domains take the UPC.
+PREFERRED_IDS = {PETS: "sku"}
+
 # ---- Rules -----------------------------------------------------------------------------
 
 

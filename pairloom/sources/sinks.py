@@ -10,22 +10,15 @@ from pyspark.sql.types import StructType
 from ..schema import LOAD_DATE, WAREHOUSE
 from ..scratch import scratch_dir
 
-#: Reader and writer options by format. CSV must tell null from blank, and keep quotes,
-#: backslashes and outer blanks as they are.
+#: Reader and writer options by format, which a table keeps as its own. CSV must tell null from
+#: blank, and keep quotes, backslashes and outer blanks as they are.
 _OPTIONS = {
-    "csv": {"nullValue": "\\N", "emptyValue": "", "escape": '"',
+    "csv": {"nullValue": "\\N", "escape": '"',
             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"},
 }
 _OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
 
-def _csv_writer_options(fmt: str) -> dict[str, str]:
-    options = dict(_OPTIONS.get(fmt, {}))
-    if fmt == "csv":
-        options["emptyValue"] = '""'
-    return options
-
-
 def rebalance(df: DataFrame, *columns: str) -> DataFrame:
     """Even out partitions ahead of a write.
 
@@ -50,7 +43,7 @@ def write_warehouse(df: DataFrame, target: str, fmt: str = "parquet",
         df = rebalance(df, *partitions)
     spark = df.sparkSession
     dynamic = mode == "overwrite_partitions"
-    writer = df.write.format(fmt).options(**_csv_writer_options(fmt))
+    writer = df.write.format(fmt).options(**_OPTIONS.get(fmt, {}))
     if "/" in target:
         if dynamic:
             writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")

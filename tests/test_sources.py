@@ -155,6 +155,18 @@ def test_round_trip_keeps_nulls_blanks_and_zeros(spark, tmp_path, fmt):
     assert partition_dirs(path) == ["year=2024/month=01/day=05"]
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "csv", "json"])
+def test_table_keeps_nulls_and_blanks(spark, fmt):
+    rows = [(u, u, u, None, None, u, None, 5, "upc", "exact_match", "pets") for u in AWKWARD]
+    df = stamp_load_date(spark.createDataFrame(rows, PAIR), "2024-01-05")
+    table = f"kept_{fmt}"
+    path = scratch_dir(spark, table)
+    for _ in range(2):
+        sources.write_warehouse(df, table, fmt, path=path)
+    assert multiset(spark.table(table).select(*WAREHOUSE.names).collect()) == multiset(df.collect())
+    spark.sql(f"DROP TABLE {table}")
+
+
 def test_rerun_replaces_its_day_only(spark, tmp_path):
     path = str(tmp_path / "w")
     for uuids, day in (("ab", "2024-01-05"), ("c", "2024-01-06"), ("d", "2024-01-05")):

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import canonical, replace_all, turned
 from ..rules import ALIASES, REJECT
-from ..schema import JOIN_KEYS, LABELLED, PAIR, SIDES, union_conformed
+from ..schema import JOIN_KEYS, LABELLED, PAIR, SIDES, quoted, union_conformed
 
 Sides = Sequence[tuple[str, str]]
 
@@ -42,6 +42,8 @@ def _swapped(when: Column, sides: Sides) -> dict[str, Column]:
 
 def orient_pairs(df: DataFrame, keys: Sequence[str] = JOIN_KEYS, sides: Sides = SIDES) -> DataFrame:
     """Turn pairs around, all sides together, so that the keys are in order, nulls first."""
+    if tuple(keys) not in sides:
+        sides = [*sides, tuple(keys)]
     return df.withColumns(_swapped(turned(*keys), sides))
 
 
@@ -62,6 +64,8 @@ def dedupe_pairs(df: DataFrame, keys: Sequence[str] = JOIN_KEYS,
     if undirected:
         df = canonical_pair(df, *keys) if sides is None else orient_pairs(df, keys, sides)
     others = [c for c in columns if c not in keys]
+    if not others:
+        return df.select(*columns).distinct()
     best = F.min(F.struct(*_ranked(order, others))).alias("_best")
     return (df.groupBy(*keys).agg(best)
             .select(*[c if c in keys else F.col("_best")[c].alias(c) for c in columns]))
@@ -127,12 +131,16 @@ def rewrite_alias(df: DataFrame, columns: Sequence[str] = tuple(c for s in SIDES
     return df.withColumns(out)
 
 
+def _struct(fields: Mapping[str, str]) -> str:
+    """SQL of a struct with the given expressions by field name."""
+    return "struct(" + ", ".join(f"{sql} AS {quoted(n)}" for n, sql in fields.items()) + ")"
+
+
 def mirror_pairs(df: DataFrame, swaps: Sides = SIDES) -> DataFrame:
     """Every row, and its copy with the swapped columns exchanged, from one pass."""
     other = {a: b for s in swaps for a, b in (s, s[::-1])}
-    copies = [F.struct(*[F.col(names.get(c, c)).alias(c) for c in df.columns])
-              for names in ({}, other)]
-    return df.select(F.inline(F.array(*copies)))
+    copies = [_struct({c: quoted(names.get(c, c)) for c in df.columns}) for names in ({}, other)]
+    return df.selectExpr(f"inline(array({', '.join(copies)}))")
 
 
 def combine(frames: Sequence[DataFrame]) -> DataFrame:
@@ -186,17 +194,14 @@ def settle_pairs(labelled: DataFrame, prune: bool = False, undirected: bool = Fa
         F.min(F.when(kind & direction, row)).alias(f"{k}_{d}")
         for k, kind in kinds.items() for d, direction in directions.items()])
 
-    keep = F.lit(True)
+    kept = {"match": "true", "reject": "true"}
     if prune:
-        rejected = reduce(Column.__or__, [F.col(f"reject_{d}").isNotNull() for d in directions])
-        keep = ~(rejected & F.col("_low").isNotNull() & F.col("_high").isNotNull())
+        rejected = " OR ".join(f"reject_{d} IS NOT NULL" for d in directions)
+        kept["match"] = f"NOT (({rejected}) AND _low IS NOT NULL AND _high IS NOT NULL)"
     survivors = []
-    for k in kinds:
+    for k, keep in kept.items():
         for d in directions:
-            cell = F.col(f"{k}_{d}")
-            low, high = F.col("_low"), F.col("_high")
-            values = {a: low, b: high} if d == "forward" else {a: high, b: low}
-            struct = F.struct(*[values.get(c, cell[c]).alias(c) for c in PAIR.names])
-            stays = cell.isNotNull() & keep if k == "match" else cell.isNotNull()
-            survivors.append(F.when(stays, struct))
-    return groups.select(F.inline(F.array_compact(F.array(*survivors))))
+            low, high = ("_low", "_high") if d == "forward" else ("_high", "_low")
+            row = _struct({c: {a: low, b: high}.get(c, f"{k}_{d}.{quoted(c)}") for c in PAIR.names})
+            survivors.append(f"CASE WHEN {k}_{d} IS NOT NULL AND {keep} THEN {row} END")
+    return groups.selectExpr(f"inline(array_compact(array({', '.join(survivors)})))")

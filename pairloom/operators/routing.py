@@ -16,12 +16,22 @@ from ..rules import (
     reject_source_tracks,
     segment_tracks,
 )
+from ..schema import quoted
+
+
+def _sql(label: str | int | None) -> str:
+    if label is None:
+        return "NULL"
+    if isinstance(label, int):
+        return str(label)
+    return "'" + label.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _first_hit(track: Track, names: list[str]) -> Column:
     """Labels of the track's first rule that holds, as a struct; null when none does."""
     def labels(rule):
-        return F.struct(*[F.lit(rule.labels[n]).alias(n) for n in names])
+        fields = [f"{_sql(rule.labels[n])} AS {quoted(n)}" for n in names]
+        return F.expr(f"struct({', '.join(fields)})")
     head, *rest = track
     return reduce(lambda case, rule: case.when(rule.when, labels(rule)), rest,
                   F.when(head.when, labels(head)))

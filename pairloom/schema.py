@@ -61,12 +61,19 @@ SIDES = (("uuid_a", "uuid_b"),
 JOIN_KEYS = ("sku_uuid_a", "sku_uuid_b")
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def conform(df: DataFrame, schema: StructType = PAIR) -> DataFrame:
     """The columns of `schema`, in its order and types; unreadable values become null."""
     have = {f.name: f.dataType for f in df.schema.fields}
-    return df.select(*[
-        F.col(f.name) if have.get(f.name) == f.dataType
-        else F.col(f.name).try_cast(f.dataType).alias(f.name)
+    if list(have.items()) == [(f.name, f.dataType) for f in schema.fields]:
+        return df
+    return df.selectExpr(*[
+        quoted(f.name) if have.get(f.name) == f.dataType
+        else f"try_cast({quoted(f.name)} AS {f.dataType.simpleString()}) AS {quoted(f.name)}"
         for f in schema.fields
     ])
 

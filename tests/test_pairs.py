@@ -255,3 +255,11 @@ def test_keys_may_prefer_by_segment(warehouse_inputs):
     apart = plans.library_pairs(library, "sku").where("segment = 'pets'").unionByName(
         plans.library_pairs(library, "upc").where("segment <> 'pets'"))
     assert multiset(mixed) == multiset(apart)
+
+
+def test_other_keys_turn_with_the_sides(spark):
+    df = spark.createDataFrame([("b", "a", 1, 2), ("a", "b", 3, 4)], "x string, y string, p int, q int")
+    assert multiset(orient_pairs(df, ("x", "y"), [("p", "q")])) == multiset(
+        [("a", "b", 2, 1), ("a", "b", 3, 4)])
+    assert multiset(dedupe_pairs(df.select("x", "y"), ("x", "y"), order=(), undirected=True)) == \
+        multiset([("a", "b")])

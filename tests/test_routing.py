@@ -44,3 +44,9 @@ def test_a_negated_test_drops_nulls(words):
 def test_labels_must_agree(words):
     with pytest.raises(ValueError):
         route(words, [[rule("a", kind="A")], [rule("b", other="B")]])
+
+
+@pytest.mark.parametrize("label", ["it's", "back\\slash", "new\nline", "", "'", 7, None])
+def test_labels_are_literal(words, label):
+    got = route(words, [[rule("c", kind=label)]])
+    assert [tuple(r) for r in got.collect()] == [("c", label)]

@@ -21,6 +21,7 @@ from pairloom import operators as op
 from pairloom import plans, sources
 from pairloom.rules import REJECT
 from pairloom.scratch import scratch_dir
+from pairloom.settings import METHOD_LIMIT
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -35,6 +36,7 @@ def session() -> SparkSession:
              .config("spark.driver.memory", "12g")
              .config("spark.sql.shuffle.partitions", CPUS)
              .config("spark.sql.session.timeZone", "UTC")
+             .config("spark.sql.codegen.hugeMethodLimit", METHOD_LIMIT)
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark

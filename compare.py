@@ -38,6 +38,7 @@ from pairloom.rules import (
 )
 from pairloom.schema import JOIN_KEYS, LABELLED, PAIR, REVIEW, SIDES, conform, union_conformed
 from pairloom.scratch import scratch_dir
+from pairloom.settings import METHOD_LIMIT
 
 KEYS = list(JOIN_KEYS)
 
@@ -138,6 +139,7 @@ def session(log_dir: str) -> SparkSession:
              .config("spark.driver.memory", "12g")
              .config("spark.sql.shuffle.partitions", CPUS)
              .config("spark.sql.session.timeZone", "UTC")
+             .config("spark.sql.codegen.hugeMethodLimit", METHOD_LIMIT)
              .config("spark.eventLog.enabled", "true")
              .config("spark.eventLog.compress", "false")
              .config("spark.eventLog.dir", f"file://{log_dir}")

@@ -204,4 +204,5 @@ def settle_pairs(labelled: DataFrame, prune: bool = False, undirected: bool = Fa
             low, high = ("_low", "_high") if d == "forward" else ("_high", "_low")
             row = _struct({c: {a: low, b: high}.get(c, f"{k}_{d}.{quoted(c)}") for c in PAIR.names})
             survivors.append(f"CASE WHEN {k}_{d} IS NOT NULL AND {keep} THEN {row} END")
-    return groups.selectExpr(f"inline(array_compact(array({', '.join(survivors)})))")
+    return (groups.selectExpr(f"array({', '.join(survivors)}) AS _rows")
+            .selectExpr("inline(array_compact(_rows))"))

@@ -52,7 +52,9 @@ def route(df: DataFrame, tracks: list[Track]) -> DataFrame:
     if len(hits) == 1:
         return (df.select(*kept, hits[0].alias("_hit")).where("_hit IS NOT NULL")
                 .select(*kept, "_hit.*"))
-    return df.select(*kept, F.inline(F.array_compact(F.array(*hits))))
+    # A step of its own compiles the rules; within the generator they would be interpreted.
+    return (df.select(*kept, F.array(*hits).alias("_hits"))
+            .select(*kept, F.inline(F.array_compact("_hits"))))
 
 
 def route_segment(df: DataFrame) -> DataFrame:

@@ -6,6 +6,9 @@ from pyspark.sql import SparkSession
 
 _TASK_BYTES = 128 << 20
 _LEAST_PARTITIONS = 200
+#: Bytes of bytecode up to which HotSpot compiles a method. A fused stage beyond that would be
+#: interpreted, which is slower than not fusing it.
+METHOD_LIMIT = 8000
 #: With more tasks than this on both sides of a shuffle, its block table outgrows the driver.
 _MOST_PARTITIONS = 100_000
 
@@ -23,6 +26,7 @@ def settings_for(input_bytes: int) -> dict[str, str]:
     adaptive = "spark.sql.adaptive"
     return {
         "spark.sql.files.maxPartitionBytes": str(task_bytes),
+        "spark.sql.codegen.hugeMethodLimit": str(METHOD_LIMIT),
         f"{adaptive}.enabled": "true",
         f"{adaptive}.skewJoin.enabled": "true",
         f"{adaptive}.optimizeSkewsInRebalancePartitions.enabled": "true",

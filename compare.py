@@ -1,8 +1,8 @@
 """Time each chosen form next to the plain one, on the sources of `bench.py`.
 
-The plain forms filter once per label and unite the results, de-duplicate family by family, mirror by union
-and repartition to a fixed width. Prints a Markdown table of median seconds, leaf scans and
-shuffles. Shuffled bytes come from Spark's event log, written to the scratch folder.
+The plain forms filter once per label and unite the results, de-duplicate family by family, mirror
+by union and repartition to a fixed width. Prints a Markdown table of median seconds, leaf scans,
+shuffles and shuffled bytes, the last from Spark's event log in a temporary folder.
 """
 
 from __future__ import annotations

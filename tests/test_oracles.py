@@ -4,8 +4,8 @@ import pytest
 from oracle import connect, difference
 
 import __spark_entry__ as entry_points
-
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+from checks.oracles import ORACLES
+from checks.queries import QUERIES
 
 
 @pytest.fixture(scope="module")

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pairloom.llm import bpe
 from pairloom.llm.queries import TOKENIZER
+from pairloom.llm.shipping import ship
 from pairloom.scratch import scratch_dir
 
 
 def encode_text(spark, docs, sf_dir):
     """Token ids of every document: doc_id, n_tokens, ids."""
+    ship(spark)
     return bpe.encode(docs, TOKENIZER)
 
 

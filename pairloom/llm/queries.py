@@ -3,11 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe
+from . import (
+    bpe,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    topk_search,
+    url_filters,
+    warc,
+)
+from .shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -17,14 +27,64 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def shipped(spark, sf_dir):
+        ship(spark)
+        return fn(spark, sf_dir)
+    QUERIES[fn.__name__] = shipped
+    return shipped
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def crc_remainder(id_col: Column, n: int) -> Column:
+    """crc32 of an id as text, modulo n."""
+    return F.crc32(id_col.cast("string")) % n
+
+
+@query
+def op1_topk(spark, sf_dir):
+    return topk_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query
 def op2_bpe(spark, sf_dir):
     return bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER, ids=False, digests=True)
+
+
+@query
+def op3_quality_rules(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_rules.judge(docs, quality_rules.fit(docs, labels))
+
+
+URL_RULES = [url_filters.Rule("allow", "com/"), url_filters.Rule("block", "example.com/en/"),
+             url_filters.Rule("allow", "www.example.com/en/"),
+             url_filters.Rule("block", "net/es/"), url_filters.Rule("block", "net/fr/")]
+
+
+@query
+def op4_url_filters(spark, sf_dir):
+    return url_filters.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query
+def op5_quality_classifier(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_classifier.fit(docs, labels, among=lambda i: crc_remainder(i, 4) != 2)
+    return quality_classifier.score(docs, model).select(
+        "doc_id", (crc_remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op8_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
+
+
+@query
+def op9_mixing(spark, sf_dir):
+    return mixing.draws(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")

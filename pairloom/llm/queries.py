@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import (
     bpe,
+    jaccard_join,
+    lm_scoring,
     mixing,
     quality_classifier,
     quality_rules,
@@ -75,10 +77,16 @@ def op5_quality_classifier(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality_classifier.fit(docs, labels, among=lambda i: crc_remainder(i, 4) != 2)
     return quality_classifier.score(docs, model).select(
-        "doc_id", (crc_remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+        "doc_id", F.coalesce(crc_remainder(F.col("doc_id"), 4) == 2, F.lit(False)).alias(
+            "held_out"), "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+@query
+def op7_jaccard_join(spark, sf_dir):
+    return jaccard_join.components(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_warc(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
@@ -88,3 +96,12 @@ def op8_warc(spark, sf_dir):
 def op9_mixing(spark, sf_dir):
     return mixing.draws(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op10_lm_scoring(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_remainder(F.col("doc_id"), 7) == 2, F.lit(False))
+    return lm_scoring.score_held_out(docs, ~held_out).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score")

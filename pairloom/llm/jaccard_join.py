@@ -157,6 +157,11 @@ def _index_keys(tokens: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) ->
     return keys
 
 
+def text_key(text: Column) -> Column:
+    """Tells texts apart; null as empty."""
+    return F.unhex(F.md5(F.encode(F.coalesce(text, F.lit("")), "utf-8")))
+
+
 # ---- The join ---------------------------------------------------------------------------
 
 class _Join:
@@ -173,7 +178,7 @@ class _Join:
         return self.spark.read.parquet(f"{self.folder}/{name}")
 
     def facts(self) -> DataFrame:
-        """id, class, size, prefix of every document."""
+        """id, key (of the text), class, size, prefix of every document."""
         frequent = _frequent_tokens(self.docs, self.text_col, self.n)
         text_col, n, percent = self.text_col, self.n, self.percent
 
@@ -183,12 +188,15 @@ class _Join:
                     sets = TokenSets(part.column(text_col), n)
                     prefix, length = sets.prefixes(_index_keys(sets.tokens, frequent), percent)
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(0), sets.classes(), pa.array(sets.sizes.astype(np.int64)),
-                         _lists(prefix, length)], names=["id", "class", "size", "prefix"])
+                        [part.column("_id"), part.column("_key"), sets.classes(),
+                         pa.array(sets.sizes.astype(np.int64)), _lists(prefix, length)],
+                        names=["id", "key", "class", "size", "prefix"])
 
         kind = dict(self.docs.dtypes)[self.id_col]
-        rows = self.docs.select(F.col(self.id_col).alias("id"), self.text_col).mapInArrow(
-            run, f"id {kind}, class binary, size bigint, prefix array<bigint>")
+        rows = self.docs.select(
+            F.col(self.id_col).alias("_id"), text_key(F.col(text_col)).alias("_key"),
+            text_col).mapInArrow(run, f"id {kind}, key binary, class binary, size bigint, "
+                                      "prefix array<bigint>")
         return self.store(rows, "facts")
 
     def may_link(self, size_a: str, place_a: str, size_b: str, place_b: str) -> Column:
@@ -285,9 +293,8 @@ class _Join:
             merged.join(named, "root"), "node", "left").select(
                 F.col("node").alias("class"),
                 F.coalesce("component_id", "least_id").alias("component_id")), "by_class")
-        return facts.select("id", "class", "size").join(by_class, "class", "left").select(
-            F.col("id").alias(self.id_col), F.col("size").alias("n_shingles"),
-            F.coalesce("component_id", "id").alias("component_id"))
+        return facts.select("id", "key", "class", "size").join(by_class, "class", "left").select(
+            "id", "key", "size", F.coalesce("component_id", "id").alias("component_id"))
 
 
 def components(docs: DataFrame, *, n: int = N, percent: int = PERCENT, id_col: str = "doc_id",
@@ -296,4 +303,24 @@ def components(docs: DataFrame, *, n: int = N, percent: int = PERCENT, id_col: s
 
     Documents are linked if 100 * intersection >= percent * union of their token sets.
     """
-    return _Join(docs, id_col, text_col, n, percent).run()
+    return _Join(docs, id_col, text_col, n, percent).run().select(
+        F.col("id").alias(id_col), F.col("size").alias("n_shingles"), "component_id")
+
+
+def keep_one(docs: DataFrame, *, n: int = N, percent: int = PERCENT, id_col: str = "doc_id",
+             text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, with all their columns, of one document to each component.
+
+    That is the one of least id; of equal ids with other texts, that of least text hash; of rows
+    equal in id and text, one. Rows without an id stay where no row of their component has one.
+    """
+    join = _Join(docs, id_col, text_col, n, percent)
+    found = join.store(join.run(), "found")
+    kept = found.where("id = component_id").groupBy("id").agg(F.min("key").alias("key"))
+    nameless = found.where("id is null and component_id is null").select("id", "key").distinct()
+    kept = join.store(kept.select("id", "key").union(nameless), "kept")
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"),
+                       text_key(F.col(text_col)).alias("key"))
+    rows = rows.groupBy("id", "key").agg(F.first("row").alias("row"))
+    same = rows["id"].eqNullSafe(kept["id"]) & rows["key"].eqNullSafe(kept["key"])
+    return rows.join(kept, same, "left_semi").select("row.*")

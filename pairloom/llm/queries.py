@@ -13,6 +13,7 @@ from . import (
     jaccard_join,
     lm_scoring,
     mixing,
+    pii,
     quality_classifier,
     quality_rules,
     topk_search,
@@ -82,6 +83,13 @@ def op5_quality_classifier(spark, sf_dir):
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+@query
+def op6_pii(spark, sf_dir):
+    return pii.find(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 @query
 def op7_jaccard_join(spark, sf_dir):
     return jaccard_join.components(table(spark, sf_dir, "documents"))

@@ -20,11 +20,13 @@ from . import (
     url_filters,
     warc,
 )
+from .oracles import ORACLES
 from .shipping import ship
 
+__all__ = ["ORACLES", "QUERIES"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -70,7 +72,7 @@ URL_RULES = [url_filters.Rule("allow", "com/"), url_filters.Rule("block", "examp
 
 @query
 def op4_url_filters(spark, sf_dir):
-    return url_filters.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    return url_filters.judge(table(spark, sf_dir, "pages"), URL_RULES).drop("blocked_share")
 
 
 @query

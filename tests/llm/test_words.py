@@ -1,0 +1,51 @@
+import numpy as np
+import pyarrow as pa
+from conftest import words as plain_words
+
+from pairloom.llm import words as w
+
+TEXTS = ["a b", "", None, "  x\ty\n", "é🙂 z", "same same", "word", "s", "ame", "\x85 \xa0y"]
+
+
+def spans(texts):
+    found = w.Words(pa.array(texts, pa.string()))
+    out = [[] for _ in texts]
+    for doc, start, end in zip(found.doc, found.starts, found.ends):
+        out[doc].append(bytes(found.data[start:end]).decode())
+    return out
+
+
+def test_words_are_those_of_the_pattern():
+    assert spans(TEXTS) == [plain_words(t) for t in TEXTS]
+    assert spans([]) == [] and spans([None, None]) == [[], []]
+
+
+def test_sliced_arrays():
+    whole = pa.record_batch({"text": pa.array(TEXTS)})
+    parts = [t for part in w.text_slices(whole.slice(3, 5), "text", 4)
+             for t in part.column("text").to_pylist()]
+    assert parts == TEXTS[3:8]
+    assert spans(whole.slice(3, 5).column("text").to_pylist()) == [
+        plain_words(t) for t in TEXTS[3:8]]
+
+
+def test_hashes_tell_words_apart_wherever_they_stand():
+    text = " ".join(f"w{i}" for i in range(50_000)) + " w7 W7"
+    one = w.Words(pa.array([text, "w7"]))
+    hashes = one.hashes()
+    assert len(np.unique(hashes)) == 50_001
+    assert hashes[7] == hashes[50_000] == hashes[-1] != hashes[50_001]
+    assert one.hashes(lower=True)[50_001] == hashes[7]
+
+
+def test_long_words_and_blocks(monkeypatch):
+    texts = ["x" * 500 + " y", "a b " * 400]
+    whole = w.Words(pa.array(texts)).hashes()
+    monkeypatch.setattr(w, "_BLOCK_BYTES", 64)
+    assert (w.Words(pa.array(texts)).hashes() == whole).all()
+
+
+def test_ngrams_stay_within_a_text():
+    one = w.Words(pa.array(["a b c", "a b c d", "a"]))
+    keys, at = w.word_ngrams(one.hashes(), one.doc, 3)
+    assert at.tolist() == [0, 3, 4] and keys[0] == keys[1] != keys[2]

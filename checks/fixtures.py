@@ -2,8 +2,8 @@
 
 The recipes are SQL that Spark and DuckDB both accept, so each check's input is the same on
 both sides. They plant the hard cases: nulls, blanks, placeholder ids, leading zeros, stores
-with one or three parts, an aliased store, overlapping model words, swapped directions,
-duplicate pairs, unpadded days.
+with one or three parts, an aliased store also in mixed case, overlapping model words, swapped
+directions, duplicate pairs, pairs in several domains, unpadded days.
 """
 
 from __future__ import annotations
@@ -25,11 +25,14 @@ SELECT
        ELSE 'jet_jet' END AS comp_source_store,
   CASE CAST(l_suppkey % 8 AS INT) WHEN 0 THEN 'chewy' WHEN 1 THEN 'petco' WHEN 2 THEN 'wholefoods'
        WHEN 3 THEN 'farmstead' WHEN 4 THEN 'staples' WHEN 5 THEN 'btfastlane'
-       WHEN 6 THEN 'imperfect' ELSE 'agg_ml' END AS company_code,
-  CASE WHEN l_returnflag = 'R' THEN 'product_not_found' ELSE 'product_found' END AS match_status,
+       WHEN 6 THEN CASE WHEN l_orderkey % 23 = 0 THEN NULL ELSE 'imperfect' END
+       ELSE 'agg_ml' END AS company_code,
+  CASE WHEN l_orderkey % 31 = 0 THEN NULL WHEN l_returnflag = 'R' THEN 'product_not_found'
+       ELSE 'product_found' END AS match_status,
   CASE WHEN l_linestatus = 'O' THEN 'customer_verified' ELSE 'unverified' END AS customer_review_state,
   CASE WHEN l_linenumber = 1 THEN '' WHEN l_linenumber = 2 THEN '2021-11-10' ELSE NULL END AS deleted_date,
-  CASE CAST(l_quantity AS INT) % 4 WHEN 0 THEN 'similar' WHEN 1 THEN 'equivalent' ELSE 'exact' END AS match,
+  CASE WHEN l_quantity = 7 THEN NULL WHEN CAST(l_quantity AS INT) % 4 = 0 THEN 'similar'
+       WHEN CAST(l_quantity AS INT) % 4 = 1 THEN 'equivalent' ELSE 'exact' END AS match,
   'true' AS active,
   CASE CAST((l_orderkey + 3 * l_linenumber) % 18 AS INT)
        WHEN 0 THEN 'ManualInternal' WHEN 1 THEN 'ManualExternal' WHEN 2 THEN 'MLT'
@@ -48,7 +51,8 @@ SELECT
   CAST(l_orderkey % 4 AS INT) AS feed,
   CASE WHEN l_partkey % 13 = 0 THEN NULL ELSE lpad(CAST(l_partkey AS STRING), 8, '0') END AS base_upc,
   CASE WHEN l_partkey % 7 = 0 THEN 'n/a' ELSE 'S' || CAST(l_partkey AS STRING) END AS base_sku,
-  CASE WHEN l_partkey % 5 = 0 THEN 'chewyinternal_chewyinternal' ELSE 'chewy_chewy' END AS base_source_store,
+  CASE WHEN l_partkey % 5 = 0 THEN 'chewyinternal_chewyinternal'
+       WHEN l_partkey % 5 = 1 THEN 'chewyinternaL_chewyinternaL' ELSE 'chewy_chewy' END AS base_source_store,
   lpad(CAST(l_orderkey % 40 AS STRING), 6, '0') AS comp_upc,
   CASE WHEN l_orderkey % 40 = 5 THEN NULL ELSE 'C' || CAST(l_orderkey % 40 AS STRING) END AS comp_sku,
   CASE WHEN l_orderkey % 2 = 0 THEN 'amazon_amazon' ELSE 'jet_jet' END AS comp_source_store,
@@ -81,8 +85,8 @@ SELECT
   lpad(CAST(extract(MONTH FROM l_shipdate) AS STRING), 2, '0') AS month,
   CAST(extract(YEAR FROM l_shipdate) AS STRING) AS year,
   CAST(CAST(round(l_discount * 100) AS INT) AS STRING) AS score,
-  CASE CAST(l_orderkey % 4 AS INT) WHEN 0 THEN 'pets' WHEN 1 THEN 'office_supplies'
-       WHEN 2 THEN 'grocery' ELSE 'toys' END AS domain
+  CASE CAST((l_orderkey + l_linenumber) % 5 AS INT) WHEN 0 THEN 'pets' WHEN 1 THEN 'office_supplies'
+       WHEN 2 THEN 'grocery' WHEN 3 THEN 'toys' ELSE NULL END AS domain
 FROM s
 """
 

@@ -1,7 +1,8 @@
 """DuckDB SQL for each query, in the plain form: one filtered scan per label, then unions.
 
 Survivors of de-duplication are picked by `row_number()` under the order the operators state:
-named columns first, nulls last, then every other column, nulls first.
+named columns first, nulls last, then every other column, nulls first. Side columns of matches
+compare as they read once store aliases are rewritten, which is the text that the warehouse shows.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ SWAP = {"uuid_a": "uuid_b", "sku_uuid_a": "sku_uuid_b", "base_source_store": "co
 SWAP |= {b: a for a, b in SWAP.items()}
 ID_COLUMNS = ["base_upc", "base_sku", "comp_upc", "comp_sku", "base_source_store",
               "comp_source_store"]
+# Word lists, labels and output columns, which must equal the data.
 PLACEHOLDERS = ("'', '-', '_', '.', 'null', 'none', 'all', 'undefined', '●', '?', '¿', '0', '1',"
                 " 'na', 'n/a', 'nan'")
 
@@ -66,6 +68,23 @@ def keyed_sql(source: str, prefer: str = "upc") -> str:
             f"{store_sql('uuid_b')} AS comp_source_store FROM {source}")
 
 
+def rekeyed_sql(source: str, prefer: str) -> str:
+    """Join keys anew where the preference is a condition, which may need labels of the row."""
+    if prefer in ("upc", "sku"):
+        return source
+    return (f"(SELECT * REPLACE ({key_sql('uuid_a', prefer)} AS sku_uuid_a, "
+            f"{key_sql('uuid_b', prefer)} AS sku_uuid_b) FROM {source})")
+
+
+def bare_sql(uuid: str) -> str:
+    parts = f"string_split({uuid}, '<>')"
+    return (f"(regexp_replace(lower({parts}[1]), '^0*', '') IN ({PLACEHOLDERS}) "
+            f"AND lower({parts}[2]) IN ({PLACEHOLDERS}))")
+
+
+BARE = f"coalesce({bare_sql('uuid_a')} OR {bare_sql('uuid_b')}, false)"
+
+
 def filled_sql(source: str) -> str:
     columns = ", ".join(f"coalesce({c}, '') AS {c}" for c in ID_COLUMNS)
     return f"SELECT * REPLACE ({columns}) FROM {source}"
@@ -168,23 +187,26 @@ def library_parts(prefer: str = "upc", strict: bool = False) -> list[tuple[str,
     """CTEs up to `lib_matches` and `lib_rejects`, both labelled with a priority."""
     deleted = "deleted_date IS NOT NULL AND deleted_date <> ''" if strict else DELETED
     sku = "comp_sku <> ''" if strict else "true"
+    plain = prefer if prefer in ("upc", "sku") else "upc"
     return [
         LIB,
         ("lib_filled", filled_sql("(SELECT * FROM fx_match_library WHERE company_code <> 'agg_ml')")),
         ("lib_uuids", uuids_sql("lib_filled")),
         ("lib", f"SELECT * EXCLUDE (match_date), CAST(match_date AS BIGINT) AS match_timestamp "
-                f"FROM ({keyed_sql('lib_uuids', prefer)})"),
+                f"FROM ({keyed_sql('lib_uuids', plain)})"),
         ("live", f"SELECT * FROM lib WHERE {LIVE}"),
-        ("lib_matches", f"SELECT {PAIR_LIST}, priority FROM (" + " UNION ALL ".join([
-            branches_sql("live", GROCERY_BRANCHES, "grocery", sku, ", 0 AS priority"),
-            branches_sql("live", PETS_BRANCHES, "pets", "true", ", 1 AS priority"),
-            branches_sql("live", OFFICE_BRANCHES, "office_supplies", sku, ", 2 AS priority"),
-        ]) + ")"),
+        ("lib_matches", f"SELECT {PAIR_LIST}, priority FROM " + rekeyed_sql(
+            "(" + " UNION ALL ".join([
+                branches_sql("live", GROCERY_BRANCHES, "grocery", sku, ", 0 AS priority"),
+                branches_sql("live", PETS_BRANCHES, "pets", "true", ", 1 AS priority"),
+                branches_sql("live", OFFICE_BRANCHES, "office_supplies", sku, ", 2 AS priority"),
+            ]) + ")", prefer)),
         ("deleted", f"SELECT *, {SEGMENT_CASE} AS segment, 'not_a_match' AS type FROM lib "
                     f"WHERE {deleted}"),
-        ("lib_rejects", f"SELECT {PAIR_LIST}, 0 AS priority FROM (" + " UNION ALL ".join(
-            f"SELECT *, '{s}' AS match_source FROM deleted WHERE segment IS NOT NULL AND {w}"
-            for w, s in REJECT_WORDS) + ")"),
+        ("lib_rejects", f"SELECT {PAIR_LIST}, 0 AS priority FROM " + rekeyed_sql(
+            "(" + " UNION ALL ".join(
+                f"SELECT *, '{s}' AS match_source FROM deleted WHERE segment IS NOT NULL AND {w}"
+                for w, s in REJECT_WORDS) + ")", prefer)),
     ]
 
 
@@ -210,20 +232,25 @@ def routed_reviews_sql(source: str) -> str:
         for answer, label in ANSWERS for queue, segment in QUEUES)
 
 
-def review_parts(prefer: str = "upc", aliased: bool = False) -> list[tuple[str, str]]:
+WORKFLOWS = "workflow NOT IN ('internal-auditor', 'fastlane')"
+
+
+def review_parts(prefer: str = "upc", workflows: str = WORKFLOWS, where: str = "true",
+                 alias_rejects: bool = False) -> list[tuple[str, str]]:
     """CTEs up to `rev_matches` and `rev_rejects`, de-duplicated and labelled."""
+    plain = prefer if prefer in ("upc", "sku") else "upc"
     return [
         REV,
-        ("rev_filled", filled_sql("(SELECT * FROM fx_reviews "
-                                  "WHERE workflow NOT IN ('internal-auditor', 'fastlane'))")),
+        ("rev_filled", filled_sql(f"(SELECT * FROM fx_reviews WHERE {workflows})")),
         ("rev_uuids", uuids_sql("rev_filled")),
         ("rev", "SELECT *, CAST(TRY_CAST(match_date AS INTEGER) AS BIGINT) AS match_timestamp, "
-                f"'fastlane' AS match_source FROM ({keyed_sql('rev_uuids', prefer)})"),
-        ("rev_routed", routed_reviews_sql("rev")),
+                f"'fastlane' AS match_source FROM ({keyed_sql('rev_uuids', plain)})"),
+        ("rev_routed", f"SELECT {PAIR_LIST} FROM " + rekeyed_sql(
+            f"({routed_reviews_sql('rev')})", prefer) + f" WHERE {where}"),
         ("rev_matches", "SELECT *, 3 AS priority FROM (" + pair_survivors(
-            "(SELECT * FROM rev_routed WHERE type <> 'not_a_match')", aliased=aliased) + ")"),
+            "(SELECT * FROM rev_routed WHERE type <> 'not_a_match')", aliased=True) + ")"),
         ("rev_rejects", "SELECT *, 1 AS priority FROM (" + pair_survivors(
-            "(SELECT * FROM rev_routed WHERE type = 'not_a_match')") + ")"),
+            "(SELECT * FROM rev_routed WHERE type = 'not_a_match')", aliased=alias_rejects) + ")"),
     ]
 
 
@@ -233,15 +260,17 @@ FEEDS = {"transitive": ("transitive", 4), "exact_desc": ("exact_desc_match", 5),
 THREE_DOMAINS = "domain IN ('pets', 'office_supplies', 'grocery')"
 
 
-def feed_parts(feed: str, prefer: str = "upc") -> list[tuple[str, str]]:
-    """CTEs up to `feed_<name>`; without the fixture itself."""
+def feed_parts(feed: str, prefer: str = "upc", domains: str | None = None,
+               where: str = "true") -> list[tuple[str, str]]:
+    """CTEs up to `feed_<name>`; without the fixture itself. where: of raw pairs."""
     source, priority = FEEDS[feed]
-    limit = "true" if feed == "exact_desc" else THREE_DOMAINS
+    limit = domains or ("true" if feed == "exact_desc" else THREE_DOMAINS)
     edge = ["uuid_a", "uuid_b", "match_timestamp", "score", "segment"]
     return [
         (f"edges_{feed}", "SELECT least(uuid_a, uuid_b) AS uuid_a, greatest(uuid_a, uuid_b) AS "
                           f"uuid_b, {epoch_sql('day', 'month', 'year')} AS match_timestamp, score, "
-                          f"domain AS segment FROM fx_pairs WHERE feed = '{feed}' AND {limit}"),
+                          f"domain AS segment FROM fx_pairs WHERE feed = '{feed}' AND {limit} "
+                          f"AND {where}"),
         (f"unique_{feed}", survivors_sql(f"edges_{feed}", edge, ["uuid_a", "uuid_b"],
                                          ["match_timestamp"])),
         (f"feed_{feed}", f"SELECT {PAIR_LIST}, {priority} AS priority FROM (SELECT *, "
@@ -265,23 +294,42 @@ KEYED_PAIRS = [PRS, ("keyed", f"SELECT {PAIR_LIST} FROM (SELECT *, 'upc' AS matc
 
 # ---- Warehouse --------------------------------------------------------------------------
 
-def family_parts(prefer: str = "upc", aliased: bool = True) -> list[tuple[str, str]]:
-    parts = library_parts(prefer) + review_parts(prefer, aliased) + [PRS]
+def family_parts(prefer: str = "upc", domains: str | None = None, raw_pairs: str = "true",
+                 workflows: str = WORKFLOWS, where: str = "true",
+                 alias_rejects: bool = False) -> list[tuple[str, str]]:
+    """where: of labelled pairs; raw_pairs: of the feeds' rows."""
+    parts = library_parts(prefer) + review_parts(prefer, workflows, where, alias_rejects) + [PRS]
     for feed in FEEDS:
-        parts += feed_parts(feed, prefer)
+        parts += feed_parts(feed, prefer, domains, raw_pairs)
     columns = f"{PAIR_LIST}, priority"
     parts.append(("families", " UNION ALL ".join(
-        f"SELECT {columns} FROM {name}"
+        f"SELECT {columns} FROM {name} WHERE {where}"
         for name in ("lib_matches", "rev_matches", *(f"feed_{f}" for f in FEEDS)))))
-    parts.append(("all_rejects", f"SELECT {columns} FROM lib_rejects UNION ALL "
+    parts.append(("all_rejects", f"SELECT {columns} FROM lib_rejects WHERE {where} UNION ALL "
                                  f"SELECT {columns} FROM rev_rejects"))
     return parts
 
 
+def bare_pairs_sql() -> str:
+    """Every labelled pair with a product that has no id, before any de-duplication."""
+    parts = library_parts() + review_parts() + [PRS]
+    for feed in FEEDS:
+        parts += feed_parts(feed)
+    columns = f"{PAIR_LIST}, priority"
+    sources = [f"SELECT {columns} FROM {n}" for n in ("lib_matches", "lib_rejects")]
+    sources.append(f"SELECT {PAIR_LIST}, CASE WHEN type = 'not_a_match' THEN 1 ELSE 3 END "
+                   "AS priority FROM rev_routed")
+    sources += [f"SELECT {PAIR_LIST}, {priority} AS priority FROM (SELECT *, '{source}' AS "
+                f"match_source, 'exact_match' AS type FROM "
+                f"({keyed_feed_sql(f'edges_{feed}', 'upc')}))"
+                for feed, (source, priority) in FEEDS.items()]
+    return with_(*parts, body=f"SELECT * FROM ({' UNION ALL '.join(sources)}) WHERE {BARE}")
+
+
 def warehouse_sql(prefer: str = "upc", prune: bool = False, undirected: bool = False,
-                  alias_rejects: bool = False, written: str | None = None) -> str:
+                  alias_rejects: bool = False, written: str | None = None, **limits) -> str:
     year, month, day = LOAD_DAY.split("-")
-    parts = family_parts(prefer)
+    parts = family_parts(prefer, alias_rejects=alias_rejects, **limits)
     columns = PAIR + ["priority"]
     rewritten = f"SELECT * REPLACE ({ALIASED}) FROM "
     if undirected:
@@ -352,12 +400,16 @@ ORACLES: dict[str, str] = {
     "scan_partitioned": pairs_sql("SELECT * FROM fx_pairs WHERE domain = 'pets'"),
     "scan_table": pairs_sql("SELECT * FROM fx_pairs"),
     "scan_json_dir": _REVIEW_ROWS,
+    "scan_json_numbers": _REVIEW_ROWS,
     "scan_small_files": _REVIEW_ROWS,
     "resolve_types": snapshots_sql(
         "SELECT o_orderkey AS order_text, CAST(CASE WHEN run_no <> 1 THEN o_custkey END AS "
         "INTEGER) AS cust_text, CAST(run_no AS STRING) AS run_no FROM fx_snapshots"),
     "latest_partition": snapshots_sql(
         "SELECT * FROM fx_snapshots WHERE load_date = (SELECT max(load_date) FROM fx_snapshots)"),
+    "latest_partition_listed": snapshots_sql(
+        "SELECT * REPLACE (load_date || ' 00:00:00' AS load_date) FROM fx_snapshots WHERE "
+        "run_no <> 3 AND load_date = (SELECT max(load_date) FROM fx_snapshots WHERE run_no <> 3)"),
     "latest_partition_by_parts": snapshots_sql(
         "SELECT * FROM fx_snapshots WHERE run_no = 2 AND (year, month, day) = (SELECT (year, "
         "month, day) FROM fx_snapshots WHERE run_no = 2 ORDER BY year DESC, month DESC, day DESC "
@@ -381,6 +433,9 @@ ORACLES: dict[str, str] = {
     "write_warehouse_json": warehouse_sql(),
     "write_split": warehouse_sql(
         written="CASE WHEN type = 'not_a_match' THEN 'rejects' ELSE 'matches' END"),
+    "write_split_rest": f"""SELECT * REPLACE (CASE WHEN type <> 'not_a_match' THEN type END AS type)
+        FROM ({warehouse_sql(written="CASE WHEN type = 'exact_match' THEN 'exact' ELSE 'rest' END")})
+        """,
     "rebalance": pairs_sql("SELECT * FROM fx_pairs"),
     "count_rows": pairs_sql("SELECT count(*) AS row_count FROM fx_pairs"),
 
@@ -489,11 +544,11 @@ ORACLES: dict[str, str] = {
         branches_sql("live", GROCERY_BRANCHES, "grocery"),
         branches_sql("live", PETS_BRANCHES, "pets"),
         branches_sql("live", OFFICE_BRANCHES, "office_supplies")])),
-    "combine_matches": with_(*family_parts(aliased=False), body=(
+    "combine_matches": with_(*family_parts(), body=(
         f"SELECT {PAIR_LIST}, priority FROM families")),
-    "combine_rejects": with_(*family_parts(aliased=False), body=(
+    "combine_rejects": with_(*family_parts(), body=(
         pair_survivors("all_rejects", priority=True))),
-    "matches_and_rejects": with_(*family_parts(aliased=False), body=(
+    "matches_and_rejects": with_(*family_parts(), body=(
         f"SELECT {PAIR_LIST} FROM ({pair_survivors('families', priority=True)}) UNION ALL "
         f"SELECT {PAIR_LIST} FROM ({pair_survivors('all_rejects', priority=True)})")),
 
@@ -515,6 +570,13 @@ ORACLES: dict[str, str] = {
     "build_warehouse": warehouse_sql(),
     "warehouse_from_sources": warehouse_sql(),
     "warehouse_sku_first": warehouse_sql(prefer="sku"),
+    "warehouse_prefer_by_segment": warehouse_sql(prefer="segment = 'pets'"),
+    "warehouse_of_domains": warehouse_sql(domains="domain IN ('pets', 'toys')"),
+    "warehouse_of_whole_pairs": warehouse_sql(
+        raw_pairs="uuid_a IS NOT NULL AND uuid_b IS NOT NULL"),
+    "warehouse_of_all_workflows": warehouse_sql(workflows="workflow NOT IN ('none')"),
+    "warehouse_without_bare": warehouse_sql(where=f"NOT {BARE}"),
+    "bare_pairs": bare_pairs_sql(),
     "warehouse_pruned": warehouse_sql(prune=True, alias_rejects=True),
     "warehouse_undirected": warehouse_sql(undirected=True),
 }

@@ -117,6 +117,18 @@ def scan_json_dir(spark, sf):
     return sources.scan_json_dir(spark, _review_files(spark, sf), REVIEW)
 
 
+@query
+def scan_json_numbers(spark, sf):
+    """Dates as whole numbers, decimals, powers of ten and text."""
+    def write(path):
+        for i, kind in enumerate(("bigint", "double", "decimal(20,1)", "string")):
+            rows = _reviews(spark, sf).where(F.col("feed") == i)
+            (rows.withColumn("match_date", F.col("match_date").cast(kind))
+             .write.mode("append").json(path))
+    path = _copy(spark, sf, "fx_reviews_numbers", write)
+    return sources.scan_json_dir(spark, path, REVIEW)
+
+
 @query
 def scan_small_files(spark, sf):
     packing = spark.newSession()
@@ -138,6 +150,21 @@ def latest_partition(spark, sf):
     return sources.latest_partition(_snapshots(spark, sf), ["load_date"])
 
 
+@query
+def latest_partition_listed(spark, sf):
+    """From the catalog, of a table that also has a null date, and times that paths escape."""
+    table = "fx_snapshots_" + hashlib.sha256(sf.encode()).hexdigest()[:8]
+    when = F.concat(F.col("load_date"), F.lit(" 00:00:00"))
+
+    def write(path):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        rows = _snapshots(spark, sf).withColumn("load_date", F.when(F.col("run_no") != 3, when))
+        rows.write.partitionBy("load_date").option("path", path).saveAsTable(table)
+    _copy(spark, sf, table, write)
+    listed = sources.table_partitions(spark, table, {"load_date": "string"})
+    return sources.latest_partition(spark.table(table), ["load_date"], partitions=listed)
+
+
 @query
 def latest_partition_by_parts(spark, sf):
     return sources.latest_partition(_snapshots(spark, sf), ["year", "month", "day"],
@@ -205,6 +232,17 @@ def write_split(spark, sf):
         op.tag(sources.read_warehouse(spark, f"{path}/rejects"), target="rejects"))
 
 
+@query
+def write_split_rest(spark, sf):
+    def write(path):
+        rows = warehouse_from_sources(spark, sf)
+        sources.write_split(rows.withColumn("type", F.when(F.col("type") != REJECT, F.col("type"))),
+                            {(EXACT,): f"{path}/exact"}, rest=f"{path}/rest")
+    path = _copy(spark, sf, "split_rest", write)
+    return op.tag(sources.read_warehouse(spark, f"{path}/exact"), target="exact").unionByName(
+        op.tag(sources.read_warehouse(spark, f"{path}/rest"), target="rest"))
+
+
 @query
 def rebalance(spark, sf):
     return sources.rebalance(_pairs(spark, sf), "year", "month", "day")
@@ -568,6 +606,36 @@ def warehouse_sku_first(spark, sf):
     return _from_sources(spark, sf, prefer="sku")
 
 
+@query
+def warehouse_prefer_by_segment(spark, sf):
+    return _from_sources(spark, sf, prefer=F.col("segment") == PETS)
+
+
+@query
+def warehouse_of_domains(spark, sf):
+    return _from_sources(spark, sf, domains=[PETS, "toys"])
+
+
+@query
+def warehouse_of_whole_pairs(spark, sf):
+    return _from_sources(spark, sf, drop_half_null=True)
+
+
+@query
+def warehouse_of_all_workflows(spark, sf):
+    return _from_sources(spark, sf, dropped_workflows=["none"])
+
+
+@query
+def warehouse_without_bare(spark, sf):
+    return _from_sources(spark, sf, drop_bare=True)
+
+
+@query
+def bare_pairs(spark, sf):
+    return plans.bare_pairs(library(spark, sf), review_sources(spark, sf), feeds(spark, sf))
+
+
 @query
 def warehouse_pruned(spark, sf):
     return _from_sources(spark, sf, prune=True, alias_rejects=True)

@@ -1,7 +1,9 @@
 """Operators on product pairs: ordering, de-duplication, pruning, mirroring, combining.
 
 De-duplication keeps the least row of each group under a total order: the named order columns
-first (nulls last), then all other columns. The minimum of a struct in that order is a plain
+first (nulls last), then all other columns. Where store aliases are to be rewritten, the columns
+compare as they read afterwards: ties are broken on the text that goes into the warehouse, so that
+it makes no difference whether aliases are rewritten before or after a step. The minimum of a struct in that order is a plain
 aggregate, so every map task sends at most one row per key however hot the key is, and the
 survivor does not depend on partitioning or on a retried task.
 """
@@ -16,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import canonical, replace_all, turned
 from ..rules import ALIASES, REJECT
 from ..schema import JOIN_KEYS, LABELLED, PAIR, SIDES, quoted, union_conformed
+from .projections import add_stores
 
 Sides = Sequence[tuple[str, str]]
 
@@ -47,18 +50,28 @@ def orient_pairs(df: DataFrame, keys: Sequence[str] = JOIN_KEYS, sides: Sides =
     return df.withColumns(_swapped(turned(*keys), sides))
 
 
-def _ranked(order: Sequence[str], columns: Sequence[str]) -> list[Column]:
+_SIDE_COLUMNS = tuple(c for s in SIDES for c in s)
+
+
+def _ranked(order: Sequence[str], columns: Sequence[str],
+            aliases: Mapping[str, str] | None = None) -> list[Column]:
     """Struct fields whose comparison is the survivor order over all of `columns`."""
     first = [f for c in order for f in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))]
-    return first + [F.col(c) for c in columns if c not in order]
+    others = [c for c in columns if c not in order]
+    if aliases:
+        first += [replace_all(c, aliases).alias(f"_shown_{c}") if c in _SIDE_COLUMNS
+                  else F.col(c).alias(f"_shown_{c}") for c in others]
+    return first + [F.col(c) for c in others]
 
 
 def dedupe_pairs(df: DataFrame, keys: Sequence[str] = JOIN_KEYS,
                  order: Sequence[str] = ("match_timestamp",),
-                 undirected: bool = False, sides: Sides | None = None) -> DataFrame:
+                 undirected: bool = False, sides: Sides | None = None,
+                 aliases: Mapping[str, str] | None = None) -> DataFrame:
     """One row per key combination (null keys are equal): the least in the survivor order.
 
     `undirected` puts the two keys in order first; with `sides` those columns turn with them.
+    `aliases`: those that will be rewritten later.
     """
     columns = df.columns
     if undirected:
@@ -66,7 +79,7 @@ def dedupe_pairs(df: DataFrame, keys: Sequence[str] = JOIN_KEYS,
     others = [c for c in columns if c not in keys]
     if not others:
         return df.select(*columns).distinct()
-    best = F.min(F.struct(*_ranked(order, others))).alias("_best")
+    best = F.min(F.struct(*_ranked(order, others, aliases))).alias("_best")
     return (df.groupBy(*keys).agg(best)
             .select(*[c if c in keys else F.col("_best")[c].alias(c) for c in columns]))
 
@@ -86,9 +99,6 @@ def earliest_per_pair(df: DataFrame, keys: Sequence[str] = JOIN_KEYS,
     return df.join(first, same, "left_semi")
 
 
-_NULL_SPREAD = 1024
-
-
 def prune_rejected(df: DataFrame, rejects: DataFrame, keys: Sequence[str] = JOIN_KEYS,
                    undirected: bool = True) -> DataFrame:
     """Pairs that are not among the rejects, in either direction when undirected.
@@ -109,20 +119,20 @@ def prune_rejected(df: DataFrame, rejects: DataFrame, keys: Sequence[str] = JOIN
 
     def join_keys(low: Column, high: Column, whole: Column, otherwise: Column) -> dict:
         return {"_low": F.coalesce(low, F.lit("")), "_high": F.coalesce(high, F.lit("")),
-                "_whole": F.when(whole, 0).otherwise(otherwise)}
+                "_whole": F.when(whole, F.lit(0).cast("bigint")).otherwise(otherwise)}
 
     columns = df.columns
-    spread = (1 + F.pmod(F.xxhash64(*columns), F.lit(_NULL_SPREAD))).cast("int")
+    spread = 1 + F.xxhash64(*columns).bitwiseAND((1 << 62) - 1)
     low, high, whole = ordered()
     known = (rejects.select(F.when(whole, low).alias("_l"), F.when(whole, high).alias("_h"))
              .distinct()
              .select(*[c.alias(n) for n, c in join_keys(
-                 F.col("_l"), F.col("_h"), F.col("_l").isNotNull(), F.lit(-1)).items()]))
+                 F.col("_l"), F.col("_h"), F.col("_l").isNotNull(), F.lit(-1).cast("bigint")).items()]))
     return (df.withColumns(join_keys(low, high, whole, spread))
             .join(known, ["_low", "_high", "_whole"], "left_anti").select(*columns))
 
 
-def rewrite_alias(df: DataFrame, columns: Sequence[str] = tuple(c for s in SIDES for c in s),
+def rewrite_alias(df: DataFrame, columns: Sequence[str] = _SIDE_COLUMNS,
                   aliases: Mapping[str, str] = ALIASES, where: Column | None = None) -> DataFrame:
     """Replace each alias wherever it occurs in the columns, in the rows of `where` only."""
     out = {c: replace_all(c, aliases) for c in columns}
@@ -158,34 +168,65 @@ def combine_matches(frames_in_priority_order: Sequence[DataFrame]) -> DataFrame:
     return _by_position(frames_in_priority_order)
 
 
-def combine_rejects(frames: Sequence[DataFrame]) -> DataFrame:
-    """Rejected pairs of all frames, one row per join-key pair."""
-    return dedupe_pairs(_by_position(frames), order=("priority", "match_timestamp"))
+def combine_rejects(frames: Sequence[DataFrame],
+                    aliases: Mapping[str, str] | None = None) -> DataFrame:
+    """Rejected pairs of all frames, one row per join-key pair. `aliases`: as in `dedupe_pairs`."""
+    return dedupe_pairs(_by_position(frames), order=("priority", "match_timestamp"),
+                        aliases=aliases)
 
 
-def settle_pairs(labelled: DataFrame, prune: bool = False, undirected: bool = False) -> DataFrame:
+_STORES = ("base_source_store", "comp_source_store")
+
+
+def settle_pairs(labelled: DataFrame, prune: bool = False, undirected: bool = False,
+                 derive_stores: bool = False) -> DataFrame:
     """Surviving matches and rejects of labelled pairs, from a single aggregation.
 
+    The rows are those of `dedupe_pairs` on matches and on rejects; when undirected, with the
+    sides turned into order. `derive_stores` says that the stores are those of the uuids, so that
+    they can be built again afterwards instead of being shuffled.
+    """
+    payload = [c for c in LABELLED.names
+               if c not in JOIN_KEYS and not (derive_stores and c in _STORES)]
+    settled = (_settle_pruned if prune else _settle)(labelled, payload, undirected)
+    return (add_stores(settled) if derive_stores else settled).select(*PAIR.names)
+
+
+def _is_reject() -> Column:
+    return F.coalesce(F.col("type") == REJECT, F.lit(False))
+
+
+def _settle(labelled: DataFrame, payload: Sequence[str], undirected: bool) -> DataFrame:
+    """One survivor to each pair of keys, as match and as reject."""
+    columns = [*JOIN_KEYS, *payload]
+    pairs = labelled.select(*columns)
+    if undirected:
+        pairs = orient_pairs(pairs, sides=[s for s in SIDES if s[0] in columns])
+    best = F.min(F.struct(*_ranked(("priority", "match_timestamp"), payload)))
+    groups = pairs.groupBy(*JOIN_KEYS, _is_reject().alias("_reject")).agg(best.alias("_best"))
+    return groups.select(*JOIN_KEYS, *[F.col("_best")[c].alias(c) for c in payload])
+
+
+def _settle_pruned(labelled: DataFrame, payload: Sequence[str], undirected: bool) -> DataFrame:
+    """Survivors without the matches that are also rejected, in either direction.
+
     Both directions of a pair, as match and as reject, meet in the group of its ordered keys;
-    the group keeps one survivor for each of the four cases (two when undirected, the sides
-    then being turned into order). So the rows are those of `dedupe_pairs` on matches and on
-    rejects, and pruning the matches that are also rejected needs no join: the verdict lies
-    in the same group.
+    the group keeps one survivor for each of the four cases (two when undirected). So pruning
+    needs no join: the verdict lies in the same group.
     """
     a, b = JOIN_KEYS
     turn = turned(a, b)
-    payload = [c for c in LABELLED.names if c not in JOIN_KEYS]
     pairs = labelled.select(
         F.when(turn, F.col(b)).otherwise(F.col(a)).alias("_low"),
         F.when(turn, F.col(a)).otherwise(F.col(b)).alias("_high"),
         turn.alias("_turned"), *payload)
     if undirected:
         pairs = pairs.withColumns(
-            {**_swapped(F.col("_turned"), [s for s in SIDES if s != JOIN_KEYS]),
+            {**_swapped(F.col("_turned"), [s for s in SIDES if s[0] in payload]),
              "_turned": F.lit(False)})
 
     row = F.struct(*_ranked(("priority", "match_timestamp"), payload))
-    is_reject = F.coalesce(F.col("type") == REJECT, F.lit(False))
+    is_reject = _is_reject()
     kinds = {"match": ~is_reject, "reject": is_reject}
     directions = {"forward": ~F.col("_turned"), "back": F.col("_turned")}
     if undirected:
@@ -194,15 +235,15 @@ def settle_pairs(labelled: DataFrame, prune: bool = False, undirected: bool = Fa
         F.min(F.when(kind & direction, row)).alias(f"{k}_{d}")
         for k, kind in kinds.items() for d, direction in directions.items()])
 
-    kept = {"match": "true", "reject": "true"}
-    if prune:
-        rejected = " OR ".join(f"reject_{d} IS NOT NULL" for d in directions)
-        kept["match"] = f"NOT (({rejected}) AND _low IS NOT NULL AND _high IS NOT NULL)"
+    rejected = " OR ".join(f"reject_{d} IS NOT NULL" for d in directions)
+    kept = {"match": f"NOT (({rejected}) AND _low IS NOT NULL AND _high IS NOT NULL)",
+            "reject": "true"}
     survivors = []
     for k, keep in kept.items():
         for d in directions:
             low, high = ("_low", "_high") if d == "forward" else ("_high", "_low")
-            row = _struct({c: {a: low, b: high}.get(c, f"{k}_{d}.{quoted(c)}") for c in PAIR.names})
+            row = _struct({c: {a: low, b: high}.get(c, f"{k}_{d}.{quoted(c)}")
+                           for c in (*JOIN_KEYS, *payload)})
             survivors.append(f"CASE WHEN {k}_{d} IS NOT NULL AND {keep} THEN {row} END")
     return (groups.selectExpr(f"array({', '.join(survivors)}) AS _rows")
             .selectExpr("inline(array_compact(_rows))"))

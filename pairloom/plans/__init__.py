@@ -4,10 +4,10 @@ from .feeds import feed_matches, feed_pairs
 from .job import load_warehouse
 from .library import library_matches, library_pairs, library_rejects
 from .reviews import review_matches, review_pairs, review_rejects, union_sources
-from .warehouse import build_warehouse, warehouse_from_sources
+from .warehouse import bare_pairs, build_warehouse, warehouse_from_sources
 
 __all__ = [
-    "build_warehouse", "feed_matches", "feed_pairs", "library_matches", "library_pairs",
-    "library_rejects", "load_warehouse", "review_matches", "review_pairs", "review_rejects", "union_sources",
-    "warehouse_from_sources",
+    "bare_pairs", "build_warehouse", "feed_matches", "feed_pairs", "library_matches",
+    "library_pairs", "library_rejects", "load_warehouse", "review_matches", "review_pairs",
+    "review_rejects", "union_sources", "warehouse_from_sources",
 ]

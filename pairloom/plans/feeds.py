@@ -35,11 +35,16 @@ def _described(edges: DataFrame, feed: str, prefer: str | Column) -> DataFrame:
 
 def feed_pairs(pairs: DataFrame, feed: str, prefer: str | Column = "upc",
                domains: Sequence[str] | None = None, drop_half_null: bool = False) -> DataFrame:
-    """Labelled matches of a feed, not yet de-duplicated.
+    """Labelled matches of a feed.
 
     `domains` limits the rows read; by default the feeds in DOMAIN_FEEDS are limited to DOMAINS.
+    A column as preference may differ between rows of one uuid pair, and with it their join keys;
+    then, and only then, the rows are de-duplicated on uuid pairs first.
     """
-    described = _described(_edges(pairs, feed, domains, drop_half_null), feed, prefer)
+    edges = _edges(pairs, feed, domains, drop_half_null)
+    if isinstance(prefer, Column):
+        edges = dedupe_pairs(edges, keys=("uuid_a", "uuid_b"))
+    described = _described(edges, feed, prefer)
     return conform(tag(described, priority=MATCH_FAMILIES.index(feed)), LABELLED)
 
 

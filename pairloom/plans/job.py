@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import SparkSession
 
-from ..rules import DOMAIN_FEEDS, PREFERRED_IDS
+from ..rules import DOMAIN_FEEDS, DOMAINS, PREFERRED_IDS
 from ..schema import REVIEW
+from ..settings import MOST_PARTITIONS, planned_bytes, sized_for
 from ..sources import (
     latest_partition,
     observed_rows,
@@ -18,26 +19,40 @@ from ..sources import (
     table_partitions,
     write_warehouse,
 )
-from .warehouse import warehouse_from_sources
+from .warehouse import bare_pairs, warehouse_from_sources
+
+#: Options of `warehouse_from_sources` that `bare_pairs` shares.
+_SOURCE_OPTIONS = ("prefer", "strict", "domains", "drop_half_null", "dropped_workflows")
 
 
 def load_warehouse(spark: SparkSession, domain: str, day: datetime.date | str, *, library: str,
                    review_tables: Sequence[str] = (), review_folders: Sequence[str] = (),
                    feeds: Mapping[str, str], target: str, fmt: str = "parquet",
-                   **options) -> int:
+                   quarantine: str | None = None, input_bytes: int | None = None,
+                   most_partitions: int = MOST_PARTITIONS, **options) -> int:
     """Build the day's warehouse rows and write them to `target`; returns their number.
 
     Reads the newest `load_date` of the library table, the review tables and JSON folders, and the
     feed tables by feed name. The domain decides which id join keys prefer; `options` are those of
-    `warehouse_from_sources`.
+    `warehouse_from_sources`. Pairs with a product that has no id go to the folder `quarantine`
+    instead, if it is given. Tasks are sized by `input_bytes`, by default what the planner expects
+    of the sources; the session's settings are as before afterwards.
     """
     dates = table_partitions(spark, library, {"load_date": "string"})
     newest = latest_partition(scan_table(spark, library), ["load_date"], partitions=dates)
     reviews = [scan_table(spark, t) for t in review_tables]
     reviews += [scan_json_dir(spark, f, REVIEW) for f in review_folders]
-    pairs = {feed: (scan_domains if feed in DOMAIN_FEEDS else scan_table)(spark, table)
-             for feed, table in feeds.items()}
+    limits = options.get("domains")
+    pairs = {feed: scan_table(spark, table) if limits is None and feed not in DOMAIN_FEEDS
+             else scan_domains(spark, table, limits or DOMAINS) for feed, table in feeds.items()}
     options.setdefault("prefer", PREFERRED_IDS.get(domain, "upc"))
-    rows, seen = observed_rows(warehouse_from_sources(newest, reviews, pairs, day, **options))
-    write_warehouse(rows, target, fmt)
+    if input_bytes is None:
+        input_bytes = planned_bytes(newest, *reviews, *pairs.values())
+    with sized_for(spark, input_bytes, most_partitions):
+        if quarantine is not None:
+            shared = {k: v for k, v in options.items() if k in _SOURCE_OPTIONS}
+            bare_pairs(newest, reviews, pairs, **shared).write.mode("overwrite").parquet(quarantine)
+            options["drop_bare"] = True
+        rows, seen = observed_rows(warehouse_from_sources(newest, reviews, pairs, day, **options))
+        write_warehouse(rows, target, fmt)
     return seen.get["row_count"]

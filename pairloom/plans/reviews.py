@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -11,7 +11,14 @@ from ..operators.filters import exclude_values
 from ..operators.pairs import dedupe_pairs
 from ..operators.projections import add_keys, add_uuids, fill_blank, tag
 from ..operators.routing import route_reviews
-from ..rules import DROPPED_WORKFLOWS, MATCH_FAMILIES, REJECT, REJECT_FAMILIES, REVIEW_SOURCE
+from ..rules import (
+    ALIASES,
+    DROPPED_WORKFLOWS,
+    MATCH_FAMILIES,
+    REJECT,
+    REJECT_FAMILIES,
+    REVIEW_SOURCE,
+)
 from ..schema import LABELLED, PAIR, REVIEW, conform, union_conformed
 
 
@@ -33,11 +40,17 @@ def review_pairs(sources: Sequence[DataFrame], prefer: str | Column = "upc",
     return conform(stamped, LABELLED)
 
 
-def review_matches(sources: Sequence[DataFrame], prefer: str | Column = "upc") -> DataFrame:
-    pairs = review_pairs(sources, prefer).where(F.col("type") != REJECT)
-    return dedupe_pairs(conform(pairs, PAIR))
+def review_matches(sources: Sequence[DataFrame], prefer: str | Column = "upc",
+                   dropped_workflows: Sequence[str] = DROPPED_WORKFLOWS,
+                   aliases: Mapping[str, str] | None = ALIASES) -> DataFrame:
+    """Matches, one per join-key pair; ties are broken as if the aliases were rewritten."""
+    pairs = review_pairs(sources, prefer, dropped_workflows).where(F.col("type") != REJECT)
+    return dedupe_pairs(conform(pairs, PAIR), aliases=aliases)
 
 
-def review_rejects(sources: Sequence[DataFrame], prefer: str | Column = "upc") -> DataFrame:
-    pairs = review_pairs(sources, prefer).where(F.col("type") == REJECT)
-    return dedupe_pairs(conform(pairs, PAIR))
+def review_rejects(sources: Sequence[DataFrame], prefer: str | Column = "upc",
+                   dropped_workflows: Sequence[str] = DROPPED_WORKFLOWS,
+                   aliases: Mapping[str, str] | None = None) -> DataFrame:
+    """Rejects, one per join-key pair. `aliases`: those that rejects will be rewritten by."""
+    pairs = review_pairs(sources, prefer, dropped_workflows).where(F.col("type") == REJECT)
+    return dedupe_pairs(conform(pairs, PAIR), aliases=aliases)

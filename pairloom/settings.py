@@ -2,26 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 _TASK_BYTES = 128 << 20
 _LEAST_PARTITIONS = 200
 #: Bytes of bytecode up to which HotSpot compiles a method. A fused stage beyond that would be
 #: interpreted, which is slower than not fusing it.
 METHOD_LIMIT = 8000
-#: With more tasks than this on both sides of a shuffle, its block table outgrows the driver.
-_MOST_PARTITIONS = 100_000
+#: With more tasks than this on both sides of a shuffle, its block table outgrows the usual driver.
+MOST_PARTITIONS = 100_000
 
 
-def settings_for(input_bytes: int) -> dict[str, str]:
+def settings_for(input_bytes: int, most_partitions: int = MOST_PARTITIONS) -> dict[str, str]:
     """SQL settings for a job over `input_bytes`.
 
     Adaptive execution merges shuffle partitions but never adds any to an aggregation, so their
     first number must fit the data: a fixed 200 would put hundreds of GB in a task at 100 TB.
-    Up to 12 TB a task gets 128 MB; beyond, tasks grow instead (1 GB at 100 TB, sorted with
-    spilling). Merged partitions keep to the task size, so that writes yield no tiny files.
+    A task gets 128 MB up to `most_partitions` of them (12 TB by default); beyond, tasks grow
+    instead (1 GB at 100 TB, sorted with spilling), unless the driver can hold more. Merged partitions keep to the task size, so that writes yield no tiny files.
     """
-    task_bytes = max(_TASK_BYTES, -(-input_bytes // _MOST_PARTITIONS))
+    task_bytes = max(_TASK_BYTES, -(-input_bytes // most_partitions))
     partitions = max(_LEAST_PARTITIONS, -(-input_bytes // task_bytes))
     adaptive = "spark.sql.adaptive"
     return {
@@ -37,6 +40,30 @@ def settings_for(input_bytes: int) -> dict[str, str]:
     }
 
 
-def apply_settings(spark: SparkSession, input_bytes: int) -> None:
-    for name, value in settings_for(input_bytes).items():
+def apply_settings(spark: SparkSession, input_bytes: int,
+                   most_partitions: int = MOST_PARTITIONS) -> None:
+    for name, value in settings_for(input_bytes, most_partitions).items():
         spark.conf.set(name, value)
+
+
+def planned_bytes(*frames: DataFrame) -> int:
+    """Bytes that the planner expects of the frames: file sizes, less pruned partitions."""
+    return sum(int(f._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+               for f in frames)
+
+
+@contextmanager
+def sized_for(spark: SparkSession, input_bytes: int,
+              most_partitions: int = MOST_PARTITIONS) -> Iterator[None]:
+    """The settings for an input, for as long as a job takes."""
+    wanted = settings_for(input_bytes, most_partitions)
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    apply_settings(spark, input_bytes, most_partitions)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ..schema import LOAD_DATE, WAREHOUSE
-from ..scratch import scratch_dir
+from ..scratch import remove, scratch_dir
 
 #: Reader and writer options by format, which a table keeps as its own. CSV must tell null from
-#: blank, and keep quotes, backslashes and outer blanks as they are.
+#: blank, and keep quotes, backslashes, outer blanks and line breaks as they are. With line breaks
+#: inside values a file cannot be split, so it is read by one task; tasks write moderate files.
 _OPTIONS = {
-    "csv": {"nullValue": "\\N", "escape": '"',
+    "csv": {"nullValue": "\\N", "escape": '"', "multiLine": "true", "lineSep": "\n",
             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"},
 }
 _OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
@@ -64,20 +65,40 @@ def write_warehouse(df: DataFrame, target: str, fmt: str = "parquet",
         writer.mode("error" if dynamic else mode).partitionBy(*partitions).saveAsTable(target)
 
 
+def _one_of(types: Sequence[str]) -> Column:
+    return F.coalesce(F.col("type").isin(*types), F.lit(False))
+
+
 def write_split(df: DataFrame, targets_by_type: Mapping[tuple[str, ...], str],
                 fmt: str = "parquet", mode: str = "overwrite_partitions",
-                stage: str | None = None) -> None:
-    """Write each group of types to a target of its own.
+                stage: str | None = None, rest: str | None = None,
+                spread: bool = False) -> None:
+    """Write each group of types to a target of its own, and other or missing types to `rest`.
 
     The frame is computed once, into the folder `stage` (by default one in the cluster's shared
-    scratch folder), laid out by type; each target then takes its types from there and reads no
-    other.
+    scratch folder, which is deleted afterwards), laid out by type; each target then takes its
+    types from there and reads no other. Rows of no group are counted on the way: without `rest`
+    they raise an error before any target is written. `spread` is for frames of many dates, as
+    in `write_warehouse`.
     """
-    stage = stage or scratch_dir(df.sparkSession, "split")
-    df.write.mode("overwrite").partitionBy("type").parquet(stage)
-    staged = df.sparkSession.read.schema(df.schema).parquet(stage).select(*df.columns)
-    for types, target in targets_by_type.items():
-        write_warehouse(staged.where(F.col("type").isin(*types)), target, fmt, mode, spread=True)
+    spark = df.sparkSession
+    listed = [t for types in targets_by_type for t in types]
+    folder = stage or scratch_dir(spark, "split")
+    seen = Observation("split")
+    (df.observe(seen, F.count_if(~_one_of(listed)).alias("others"))
+     .write.mode("overwrite").partitionBy("type").parquet(folder))
+    try:
+        if rest is None and seen.get["others"]:
+            raise ValueError(f"{seen.get['others']} rows have a type of no target")
+        staged = spark.read.schema(df.schema).parquet(folder).select(*df.columns)
+        parts = [(_one_of(types), target) for types, target in targets_by_type.items()]
+        if rest is not None:
+            parts.append((~_one_of(listed), rest))
+        for rows, target in parts:
+            write_warehouse(staged.where(rows), target, fmt, mode, spread=spread)
+    finally:
+        if stage is None:
+            remove(spark, folder)
 
 
 def read_warehouse(spark: SparkSession, path: str, fmt: str = "parquet",

@@ -8,8 +8,8 @@ both sets. Then it must also share a token in the prefixes under the other order
 other seeds), and what is left is verified on whole sets.
 
 Components come in two rounds, so that a large group of near copies does not become all its pairs:
-first each index entry's classes are compared with its least one, and only pairs that are then in
-different components are compared in the second round. Pairs within a component that is already
+where more than `LARGE` classes share an index token, they are first compared with the least one of
+them, and then only if they are in different components. Pairs within a component that is already
 known need no proof, and no other pair is left out.
 
 Null and wordless texts have no tokens and are linked with nothing. Texts of fewer than n words are
@@ -19,12 +19,14 @@ table gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pairloom.scratch import scratch_dir
+from pairloom.scratch import remove, scratch_dir
 
 from .components import connected_components
 from .words import Words, mix, text_slices, word_ngrams
@@ -32,10 +34,11 @@ from .words import Words, mix, text_slices, word_ngrams
 N = 4
 PERCENT = 85
 ORDERS = 3                   # the index's and two more
-FREQUENT = 1 << 18           # tokens, at most, that are known to be frequent
-_LOCAL = 4                   # texts of one stretch that hold a token before it is reported
+LARGE = 32
+FREQUENT = 1 << 19           # tokens, at most, that are known to be frequent
+_LOCAL = 3                   # texts of one stretch that hold a token before it is reported
 _STRETCH = 1 << 22
-_SMALL = 1_000_000           # rows that may be broadcast: 16 bytes each
+_SMALL = 1_000_000           # rows that may be broadcast: 24 bytes each
 _SEEDS = [np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)]
 
 
@@ -157,6 +160,21 @@ def _index_keys(tokens: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) ->
     return keys
 
 
+def _prefix(tokens: np.ndarray, order: int, percent: int) -> np.ndarray:
+    length = len(tokens) - -(-percent * len(tokens) // 100) + 1
+    return tokens[np.argpartition(_seeded(tokens, order), length - 1)[:length]]
+
+
+def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Filters by the further orders, then the whole sets."""
+    for order in range(1, ORDERS):
+        if not np.isin(_prefix(a, order, percent), _prefix(b, order, percent),
+                       assume_unique=True).any():
+            return False
+    common = int(np.isin(a, b, assume_unique=True).sum())
+    return (100 + percent) * common >= percent * (len(a) + len(b))
+
+
 def text_key(text: Column) -> Column:
     """Tells texts apart; null as empty."""
     return F.unhex(F.md5(F.encode(F.coalesce(text, F.lit("")), "utf-8")))
@@ -177,7 +195,11 @@ class _Join:
         frame.write.parquet(f"{self.folder}/{name}")
         return self.spark.read.parquet(f"{self.folder}/{name}")
 
-    def facts(self) -> DataFrame:
+    def drop(self, name: str) -> None:
+        """Remove a stored frame that nothing reads any more."""
+        remove(self.spark, f"{self.folder}/{name}")
+
+    def sketches(self) -> DataFrame:
         """id, key (of the text), class, size, prefix of every document."""
         frequent = _frequent_tokens(self.docs, self.text_col, self.n)
         text_col, n, percent = self.text_col, self.n, self.percent
@@ -193,108 +215,129 @@ class _Join:
                         names=["id", "key", "class", "size", "prefix"])
 
         kind = dict(self.docs.dtypes)[self.id_col]
-        rows = self.docs.select(
+        return self.docs.select(
             F.col(self.id_col).alias("_id"), text_key(F.col(text_col)).alias("_key"),
             text_col).mapInArrow(run, f"id {kind}, key binary, class binary, size bigint, "
                                       "prefix array<bigint>")
-        return self.store(rows, "facts")
 
-    def may_link(self, size_a: str, place_a: str, size_b: str, place_b: str) -> Column:
-        """Sizes allow the similarity, and so does what follows the common token."""
-        a, b = F.col(size_a), F.col(size_b)
-        after = F.least(a - F.col(place_a), b - F.col(place_b))
-        return ((100 * F.least(a, b) >= self.percent * F.greatest(a, b))
-                & ((100 + self.percent) * after >= self.percent * (a + b)))
+    def may_link(self, a: str, b: str) -> Column:
+        """Sizes allow the similarity, and so does what follows the common token.
+
+        a, b: columns that hold a size above 32 bits of the token's place.
+        """
+        size_a, size_b = (F.shiftright(c, 32) for c in (a, b))
+        places = [F.col(c).bitwiseAND((1 << 32) - 1) for c in (a, b)]
+        after = F.least(size_a - places[0], size_b - places[1])
+        return ((100 * F.least(size_a, size_b) >= self.percent * F.greatest(size_a, size_b))
+                & ((100 + self.percent) * after >= self.percent * (size_a + size_b)))
 
     def sets_of(self, classes: DataFrame, name: str) -> DataFrame:
-        """class, tokens and further prefixes of the given classes, from the texts."""
-        text_col, n, percent = self.text_col, self.n, self.percent
-        extra = [f"prefix_{k}" for k in range(1, ORDERS)]
+        """no and tokens of the given classes (class, no), from the texts."""
+        text_col, n = self.text_col, self.n
 
         def run(batches):
             for batch in batches:
                 for part in text_slices(batch, text_col):
                     sets = TokenSets(part.column(text_col), n)
                     yield pa.RecordBatch.from_arrays(
-                        [sets.classes(), _lists(sets.tokens, sets.sizes),
-                         *(_lists(*sets.prefixes(_seeded(sets.tokens, k), percent))
-                           for k in range(1, ORDERS))], names=["class", "tokens", *extra])
+                        [sets.classes(), _lists(sets.tokens, sets.sizes)],
+                        names=["class", "tokens"])
 
-        rows = self.docs.select(text_col).mapInArrow(run, ", ".join(
-            ["class binary", *(f"{c} array<bigint>" for c in ["tokens", *extra])]))
+        rows = self.docs.select(text_col).mapInArrow(run, "class binary, tokens array<bigint>")
         if classes.count() <= _SMALL:
             classes = F.broadcast(classes)
         # Copies have the same set: any one of them serves.
-        return self.store(rows.join(classes, "class", "left_semi").groupBy("class").agg(
-            *(F.first(c).alias(c) for c in ["tokens", *extra])), f"sets_{name}")
+        return self.store(rows.join(classes, "class").groupBy("no").agg(
+            F.first("tokens").alias("tokens")), f"sets_{name}")
 
-    def links(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs of classes (a, b) that are similar enough."""
+    def links(self, classes: DataFrame, pairs: DataFrame, name: str) -> DataFrame | None:
+        """The pairs (a, b) that are similar enough; None if there are no pairs at all."""
         pairs = self.store(pairs.select(F.least("a", "b").alias("a"),
                                         F.greatest("a", "b").alias("b")).distinct(),
                            f"pairs_{name}")
-        either = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-        sets = self.sets_of(self.store(either, f"classes_{name}"), name)
-
-        def side(letter: str) -> DataFrame:
-            return sets.select(*(F.col(c).alias(letter if c == "class" else f"{c}_{letter}")
-                                 for c in sets.columns))
-        joined = pairs.join(side("a"), "a").join(side("b"), "b")
-        for k in range(1, ORDERS):
-            joined = joined.where(F.arrays_overlap(f"prefix_{k}_a", f"prefix_{k}_b"))
-        common = F.size(F.array_intersect("tokens_a", "tokens_b"))
-        both = F.size("tokens_a") + F.size("tokens_b")
-        return self.store(joined.where((100 + self.percent) * common >= self.percent * both)
-                          .select("a", "b"), f"links_{name}")
+        if pairs.isEmpty():
+            return None
+        either = pairs.select(F.col("a").alias("no")).union(pairs.select("b")).distinct()
+        sets = self.sets_of(self.store(classes.select("class", "no").join(
+            either, "no", "left_semi"), f"classes_{name}"), name)
+        left = sets.select(F.col("no").alias("a"), F.col("tokens").alias("tokens_a"))
+        right = sets.select(F.col("no").alias("b"), F.col("tokens").alias("tokens_b"))
+        joined = pairs.join(left, "a").join(right, "b").select("a", "b", "tokens_a", "tokens_b")
+        percent = self.percent
+
+        def run(batches):
+            for batch in batches:
+                good = [_similar(x.values.to_numpy().view(np.uint64),
+                                 y.values.to_numpy().view(np.uint64), percent)
+                        for x, y in zip(batch.column(2), batch.column(3))]
+                yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+
+        found = self.store(joined.mapInArrow(run, "a bigint, b bigint"), f"links_{name}")
+        self.drop(f"sets_{name}")
+        return found
 
     def components(self, links: DataFrame, name: str) -> DataFrame:
         return connected_components(links, lambda f, part: self.store(f, f"{name}_{part}"))
 
     def run(self) -> DataFrame:
-        facts = self.facts()
-        classes = self.store(facts.where("class is not null").groupBy("class").agg(
+        """id, key, size, component_id, group of every document.
+
+        Components may have one least id if it stands for several texts; their group differs.
+        """
+        sketches = self.store(self.sketches(), "sketches")
+        classes = self.store(sketches.where("class is not null").groupBy("class").agg(
             F.min("id").alias("least_id"), F.first("size").alias("size"),
-            F.first("prefix").alias("prefix")), "classes")
-        entries = self.store(classes.select(
-            "class", "size", F.posexplode("prefix").alias("place", "token")), "entries")
-        leaders = entries.groupBy("token").agg(
-            F.min(F.struct("class", "size", "place")).alias("leader"),
-            F.count("*").alias("n")).where("n > 1").drop("n")
-        shared = self.store(entries.join(self.store(leaders, "leaders"), "token").select(
-            "token", "class", "size", "place", F.col("leader.class").alias("leader"),
-            F.col("leader.size").alias("leader_size"),
-            F.col("leader.place").alias("leader_place")), "shared")
-        # First round: every class with the leader of each of its entries.
-        first = self.links(shared.where(F.col("class") != F.col("leader")).where(
-            self.may_link("size", "place", "leader_size", "leader_place")).select(
-                F.col("class").alias("a"), F.col("leader").alias("b")), "first")
-        roots = self.components(first, "first")
-        # Second round: classes that are not in their leader's component, with all others.
-        own = roots.select(F.col("node").alias("class"), F.col("root").alias("own"))
-        main = roots.select(F.col("node").alias("leader"), F.col("root").alias("main"))
-        placed = self.store(shared.join(own, "class", "left").join(main, "leader", "left").select(
-            "token", "class", "size", "place", "leader",
-            F.coalesce("own", "class").alias("part"),
-            F.coalesce("main", "leader").alias("main")), "placed")
-        minor = placed.where(F.col("part") != F.col("main")).select(
-            "token", F.col("class").alias("a"), F.col("size").alias("size_a"),
-            F.col("place").alias("place_a"), F.col("part").alias("part_a"))
-        others = placed.where(F.col("class") != F.col("leader"))
-        rest = minor.join(others, "token").where(
+            F.first("prefix").alias("prefix")).withColumn(
+                "no", F.monotonically_increasing_id()), "classes")
+        facts = self.store(sketches.drop("prefix"), "facts")
+        self.drop("sketches")
+        entries = classes.select("no", "size", F.posexplode("prefix").alias("place", "token")).select(
+            "token", "no", F.shiftleft("size", 32).bitwiseOR(F.col("place").cast("bigint")).alias("at"))
+        leaders = self.store(entries.groupBy("token").agg(
+            F.min("no").alias("leader"), F.count("*").alias("n")).where("n > 1"), "leaders")
+        shared = self.store(entries.join(leaders, "token"), "shared")
+        # First round: where many classes share a token, each one with the least.
+        large = F.col("n") > LARGE
+        lead = shared.where(large & (F.col("no") == F.col("leader"))).select(
+            "token", F.col("at").alias("lead_at"))
+        star = shared.where(large & (F.col("no") != F.col("leader"))).join(lead, "token").where(
+            self.may_link("at", "lead_at"))
+        first = self.links(classes, star.select(F.col("no").alias("a"), F.col("leader").alias("b")),
+                           "first")
+        if first is None:
+            placed = shared.withColumns({"part": F.col("no"), "main": F.col("leader")})
+        else:
+            roots = self.components(first, "first")
+            own = roots.select(F.col("node").alias("no"), F.col("root").alias("own"))
+            main = roots.select(F.col("node").alias("leader"), F.col("root").alias("main"))
+            placed = self.store(shared.join(own, "no", "left").join(main, "leader", "left").select(
+                "token", "no", "at", "leader", "n", F.coalesce("own", "no").alias("part"),
+                F.coalesce("main", "leader").alias("main")), "placed")
+        # Second round: pairs of different components. Where many classes share a token, one of the
+        # two is outside of the leader's component.
+        outside = placed.where(~large | (F.col("part") != F.col("main"))).select(
+            "token", F.col("no").alias("a"), F.col("at").alias("at_a"),
+            F.col("part").alias("part_a"))
+        rest = outside.join(placed, "token").where(
             (F.col("part_a") != F.col("part"))
-            & ((F.col("part") == F.col("main")) | (F.col("a") < F.col("class")))
-            & self.may_link("size_a", "place_a", "size", "place"))
-        second = self.links(rest.select("a", F.col("class").alias("b")), "second")
-        merged = self.components(first.union(second), "second")
-        least = merged.join(classes.select(F.col("class").alias("node"), "least_id"), "node")
-        named = self.store(least.groupBy("root").agg(F.min("least_id").alias("component_id")),
-                           "named")
-        by_class = self.store(classes.select(F.col("class").alias("node"), "least_id").join(
-            merged.join(named, "root"), "node", "left").select(
-                F.col("node").alias("class"),
-                F.coalesce("component_id", "least_id").alias("component_id")), "by_class")
-        return facts.select("id", "key", "class", "size").join(by_class, "class", "left").select(
-            "id", "key", "size", F.coalesce("component_id", "id").alias("component_id"))
+            & ((large & (F.col("part") == F.col("main"))) | (F.col("a") < F.col("no")))
+            & self.may_link("at_a", "at"))
+        second = self.links(classes, rest.select("a", F.col("no").alias("b")), "second")
+        links = [found for found in (first, second) if found is not None]
+        names = facts.select("id", "key", "class", "size")
+        if not links:
+            return names.join(classes.select("class", "least_id", "no"), "class", "left").select(
+                "id", "key", "size", F.coalesce("least_id", "id").alias("component_id"),
+                F.col("no").alias("group"))
+        merged = self.components(reduce(DataFrame.union, links), "second")
+        ids = classes.select(F.col("no").alias("node"), "class", "least_id")
+        named = self.store(ids.join(merged, "node").groupBy("root").agg(
+            F.min("least_id").alias("component_id")), "named")
+        by_class = self.store(ids.join(merged.join(named, "root"), "node", "left").select(
+            "class", F.coalesce("component_id", "least_id").alias("component_id"),
+            F.coalesce("root", "node").alias("group")), "by_class")
+        return names.join(by_class, "class", "left").select(
+            "id", "key", "size", F.coalesce("component_id", "id").alias("component_id"), "group")
 
 
 def components(docs: DataFrame, *, n: int = N, percent: int = PERCENT, id_col: str = "doc_id",
@@ -316,7 +359,7 @@ def keep_one(docs: DataFrame, *, n: int = N, percent: int = PERCENT, id_col: str
     """
     join = _Join(docs, id_col, text_col, n, percent)
     found = join.store(join.run(), "found")
-    kept = found.where("id = component_id").groupBy("id").agg(F.min("key").alias("key"))
+    kept = found.where("id = component_id").groupBy("id", "group").agg(F.min("key").alias("key"))
     nameless = found.where("id is null and component_id is null").select("id", "key").distinct()
     kept = join.store(kept.select("id", "key").union(nameless), "kept")
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"),

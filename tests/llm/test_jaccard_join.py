@@ -1,0 +1,109 @@
+import random
+from collections import defaultdict
+
+import pytest
+from conftest import DOCUMENTS, words
+
+from pairloom.llm import components as graph
+from pairloom.llm import jaccard_join
+
+
+def expected(rows, n=4, percent=85):
+    """(size, component) of each row, by comparing all pairs that share a token."""
+    sets = []
+    for _, text in rows:
+        w = words(text, lower=True)
+        sets.append(frozenset(tuple(w[i:i + n]) for i in range(len(w) - n + 1)) if len(w) >= n
+                    else frozenset([tuple(w)] if w else []))
+    holders = defaultdict(list)
+    for i, s in enumerate(sets):
+        for token in s:
+            holders[token].append(i)
+    label = list(range(len(rows)))
+
+    def find(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+    for i, s in enumerate(sets):
+        for j in {j for token in s for j in holders[token] if j > i}:
+            common = len(s & sets[j])
+            if 100 * common >= percent * (len(s) + len(sets[j]) - common):
+                label[find(i)] = find(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[find(i)] = min(doc_id, least.get(find(i), doc_id))
+    return sorted(map(str, ((rows[i][0], len(sets[i]), least.get(find(i), rows[i][0]))
+                            for i in range(len(rows)))))
+
+
+def found(frame, **options):
+    return sorted(map(str, map(tuple, jaccard_join.components(frame, **options).collect())))
+
+
+def variants(rng, base, count, changes):
+    out = []
+    for _ in range(count):
+        w = base.split()
+        for _ in range(rng.randrange(changes + 1)):
+            w[rng.randrange(len(w))] = f"n{rng.randrange(10**6)}"
+        out.append(" ".join(w))
+    return out
+
+
+@pytest.mark.parametrize("large", [1, 3, 32])
+def test_groups_of_near_copies(spark, monkeypatch, large):
+    """Chains of variants around the limit, in which not all are alike."""
+    monkeypatch.setattr(jaccard_join, "LARGE", large)
+    rng = random.Random(large)
+    texts = []
+    for g in range(4):
+        base = " ".join(f"w{rng.randrange(3000)}" for _ in range(60))
+        texts += [base] * 3 + variants(rng, base, 25, 3)
+    shared = " ".join(f"s{i}" for i in range(30))
+    texts += [shared + " " + " ".join(f"u{rng.randrange(10**6)}" for _ in range(rng.randrange(12)))
+              for _ in range(30)]
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert found(frame) == expected(rows)
+    assert found(frame, n=5, percent=80) == expected(rows, 5, 80)
+
+
+def test_awkward_rows(awkward):
+    rows = [(r.doc_id, r.text) for r in awkward.collect()]
+    assert found(awkward) == expected(rows)
+    assert found(awkward.where("false")) == []
+
+
+def test_kept_rows(spark, awkward):
+    kept = jaccard_join.keep_one(awkward)
+    assert kept.columns == awkward.columns
+    rows = [(r.doc_id, r.text) for r in kept.collect()]
+    assert len(rows) == len(set(rows)) == len({(r.doc_id, r.text) for r in awkward.collect()})
+    copies = spark.createDataFrame(
+        [(i, f"one two three four five six {'x' if i == 4 else ''}", "en", "s", 1)
+         for i in (9, 4, 7, 7, 7)] + [(7, "other words that stand alone here", "en", "s", 1),
+                                      (None, "one two three four five six", "en", "s", 1)],
+        DOCUMENTS)
+    left = sorted((r.doc_id, r.text) for r in jaccard_join.keep_one(copies, percent=90).collect())
+    assert left == [(4, "one two three four five six x"),
+                    (7, "one two three four five six "),
+                    (7, "other words that stand alone here")]
+
+
+def test_components_of_a_long_chain(spark, tmp_path):
+    def store(frame, name):
+        frame.write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+    rng = random.Random(1)
+    names = list(range(200))
+    rng.shuffle(names)
+    edges = [(names[i], names[i + 1]) for i in range(99)] + [
+        (names[i], names[150]) for i in range(120, 150)] + [(names[199], names[199])]
+    links = spark.createDataFrame(edges, "a bigint, b bigint")
+    roots = {r.node: r.root for r in graph.connected_components(links, store).collect()}
+    assert {roots[n] for n in names[:100]} == {min(names[:100])}
+    assert {roots[n] for n in names[120:151]} == {min(names[120:151])}
+    assert len(roots) == 131

@@ -34,7 +34,7 @@ _SPACES = regex.compile(r"\p{White_Space}+")
 _END = 256
 _SYMBOLS = 257
 _NEVER = np.int64(1) << 40
-_REMEMBER = 300_000
+_REMEMBER = 150_000
 
 
 def byte_symbols() -> list[str]:
@@ -358,7 +358,7 @@ def tokenizer(path: str) -> WordBpe:
     return _loaded[path]
 
 
-_BYTES_AT_ONCE = 4 << 20
+_BYTES_AT_ONCE = 2 << 20
 
 
 def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text",

@@ -1,8 +1,9 @@
 """Time each chosen form next to the plain one, on the sources of `bench.py`.
 
 The plain forms filter once per label and unite the results, de-duplicate family by family, mirror
-by union and repartition to a fixed width. Prints a Markdown table of median seconds, leaf scans,
-shuffles and shuffled bytes, the last from Spark's event log in a temporary folder.
+by union and repartition to a fixed width. Broadcast joins are off, as beyond a small size they are
+anyway. Prints a Markdown table of median seconds, leaf scans, shuffles, broadcasts and shuffled
+bytes, the last from Spark's event log in a temporary folder.
 """
 
 from __future__ import annotations
@@ -140,6 +141,8 @@ def session(log_dir: str) -> SparkSession:
              .config("spark.sql.shuffle.partitions", CPUS)
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.sql.codegen.hugeMethodLimit", METHOD_LIMIT)
+             .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+             .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
              .config("spark.eventLog.enabled", "true")
              .config("spark.eventLog.compress", "false")
              .config("spark.eventLog.dir", f"file://{log_dir}")
@@ -211,13 +214,15 @@ def main() -> None:
         spark.sparkContext.setJobDescription(name)
         time = statistics.median(seconds(run) for _ in range(RUNS))
         plan = df._jdf.queryExecution().executedPlan().toString()
-        lines[name] = (time, plan.count("FileScan"), len(re.findall(r"Exchange (?!Single)\w+", plan)))
+        shuffles = re.findall(r"(?<!Broadcast)Exchange (?!Single)\w+", plan)
+        lines[name] = (time, plan.count("FileScan"), len(shuffles), plan.count("BroadcastExchange"))
     spark.stop()
     moved = shuffled_bytes(log_dir)
-    print("| form | seconds | scans | shuffles | MB shuffled |\n| --- | --- | --- | --- | --- |")
-    for name, (time, scans, shuffles) in lines.items():
+    print("| form | seconds | scans | shuffles | broadcasts | MB shuffled |")
+    print("| --- | --- | --- | --- | --- | --- |")
+    for name, (time, scans, shuffles, broadcasts) in lines.items():
         mb = moved.get(name, 0) / RUNS / 1e6
-        print(f"| {name} | {time:.2f} | {scans} | {shuffles} | {mb:.1f} |")
+        print(f"| {name} | {time:.2f} | {scans} | {shuffles} | {broadcasts} | {mb:.1f} |")
 
 
 if __name__ == "__main__":

@@ -47,9 +47,28 @@ def apply_settings(spark: SparkSession, input_bytes: int,
 
 
 def planned_bytes(*frames: DataFrame) -> int:
-    """Bytes that the planner expects of the frames: file sizes, less pruned partitions."""
-    return sum(int(f._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-               for f in frames)
+    """Bytes that the frames read: the planner's file sizes, less pruned partitions.
+
+    The planner does not know the size of a partitioned table that is read whole; that one is
+    asked of the storage, which lists files but reads none.
+    """
+    total = 0
+    for frame in frames:
+        spark = frame.sparkSession
+        unknown = int(spark.conf.get("spark.sql.defaultSizeInBytes").rstrip("bB"))
+        leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
+        for leaf in (leaves.apply(i) for i in range(leaves.size())):
+            size = int(str(leaf.stats().sizeInBytes()))
+            total += size if size < unknown else _stored_bytes(spark, leaf)
+    return total
+
+
+def _stored_bytes(spark: SparkSession, leaf) -> int:
+    """Bytes below the folders of a file relation."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = leaf.relation().location().rootPaths()
+    return sum(p.getFileSystem(hadoop).getContentSummary(p).getLength()
+               for p in (paths.apply(i) for i in range(paths.size())))
 
 
 @contextmanager

@@ -17,10 +17,9 @@ def spark(tmp_path_factory):
                .config("spark.sql.shuffle.partitions", "8")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("tables")))
+               .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
                .config("spark.driver.memory", "8g"))
     session = builder.getOrCreate()
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

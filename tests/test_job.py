@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from pairloom import plans
-from pairloom.scratch import scratch_dir
+from pairloom.scratch import remove, scratch_dir
+from pairloom.settings import settings_for
+from pairloom.sources import read_warehouse
 
 
 @pytest.fixture
@@ -34,6 +36,51 @@ def tables(spark, warehouse_inputs):
         spark.sql(f"DROP TABLE {name}")
 
 
+def test_job_is_sized_by_its_input(spark, tables, monkeypatch):
+    seen = []
+    write = plans.job.write_warehouse
+
+    def spy(rows, *args):
+        seen.append(rows._jdf.queryExecution().executedPlan().toString())
+        write(rows, *args)
+    monkeypatch.setattr(plans.job, "write_warehouse", spy)
+    names = settings_for(1)
+    before = {n: spark.conf.get(n, None) for n in names}
+    for given, parts in ((900 * (128 << 20), 900), (None, 200)):
+        plans.load_warehouse(spark, "pets", "2024-01-05", target=scratch_dir(spark, "sized"),
+                             input_bytes=given, **tables)
+        assert f", {parts}), ENSURE_REQUIREMENTS" in seen.pop()
+    assert {n: spark.conf.get(n, None) for n in names} == before
+
+
+def test_job_fails_without_a_library(spark, tables):
+    empty = "lib_empty"
+    path = scratch_dir(spark, empty)
+    spark.table(tables["library"]).where("load_date = '2024-01-04'").write.partitionBy(
+        "load_date").option("path", path).saveAsTable(empty)
+    remove(spark, f"{path}/load_date=2024-01-04")
+    spark.catalog.refreshTable(empty)
+    target = scratch_dir(spark, "unwritten")
+    with pytest.raises(LookupError):
+        plans.load_warehouse(spark, "pets", "2024-01-05", target=target,
+                             **{**tables, "library": empty})
+    spark.sql(f"DROP TABLE {empty}")
+
+
+def test_job_options_and_quarantine(spark, tables, warehouse_inputs):
+    inputs = list(warehouse_inputs.values())
+    options = {"domains": ["pets", "toys"], "drop_half_null": True, "dropped_workflows": ["none"]}
+    target, bare = scratch_dir(spark, "w"), scratch_dir(spark, "bare")
+    plans.load_warehouse(spark, "grocery", "2024-01-05", target=target, quarantine=bare, **options,
+                         **tables)
+    want = plans.warehouse_from_sources(*inputs, "2024-01-05", drop_bare=True, **options)
+    got = read_warehouse(spark, target)
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+    left = plans.bare_pairs(*inputs, **options)
+    held = spark.read.parquet(bare)
+    assert held.count() == left.count() > 0 and held.exceptAll(left).isEmpty()
+
+
 @pytest.mark.parametrize("domain,prefer", [("pets", "sku"), ("grocery", "upc")])
 def test_job_writes_what_the_flow_builds(spark, tables, warehouse_inputs, domain, prefer):
     want = plans.warehouse_from_sources(*warehouse_inputs.values(), "2024-01-05", prefer=prefer)

@@ -5,18 +5,19 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from checks.queries import QUERIES
 from pairloom import plans, sources
 from pairloom.operators import (
+    combine_matches,
+    combine_rejects,
     dedupe_pairs,
     earliest_per_pair,
     prune_rejected,
     stamp_load_date,
 )
-from pairloom.schema import PAIR
+from pairloom.schema import FEED, LIBRARY, PAIR, REVIEW
 from pairloom.settings import settings_for
 
-import __spark_entry__ as entry_points
-
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -46,6 +47,41 @@ def test_warehouse_scans_each_source_once_and_shuffles_once(warehouse_inputs, op
     assert "Join" not in plan
 
 
+def test_warehouse_shuffles_neither_stores_nor_more_than_one_row(warehouse_inputs):
+    plan = plan_of(plans.warehouse_from_sources(*warehouse_inputs.values(), "2024-01-05"))
+    assert plan.count("partial_min") == 1
+    assert "source_store" not in plan.split("partial_min(")[1].split("])")[0]
+
+
+def test_one_pass_breaks_ties_like_step_by_step(spark):
+    """Stores that differ by an alias in mixed case, and a uuid pair in two domains."""
+    def review(store, score, answer):
+        return ("1", "s1", "2", "s2", store, "y_y", score, 7, "chewy_q", answer, "q")
+    reviews = [spark.createDataFrame(
+        [review("x_chewyinternaL", "1", a) for a in ("exact_match", "not_a_match")]
+        + [review("x_chewyinternal", "2", a) for a in ("exact_match", "not_a_match")], REVIEW)]
+    a, b = "003<>s3<>m<>m", "4<>s4<>n<>n"
+    rows = [(a, b, "5", "01", "2024", "1", "pets"), (b, a, "5", "01", "2024", "1", "grocery"),
+            (a, b, "4", "01", "2024", "2", "grocery"), (a, b, None, "01", "2024", "2", "pets")]
+    feeds = {n: spark.createDataFrame(rows, FEED) for n in ("transitive", "exact_desc", "upc")}
+    library = spark.createDataFrame([], LIBRARY)
+    for prefer in ("upc", "sku", F.col("segment") == "pets"):
+        for alias_rejects in (False, True):
+            aliases = plans.warehouse.ALIASES if alias_rejects else None
+            matches = [*[library.select(*[F.lit(None).cast(f.dataType).alias(f.name)
+                                          for f in PAIR])] * 3,
+                       plans.review_matches(reviews, prefer),
+                       *(plans.feed_matches(f, n, prefer) for n, f in feeds.items())]
+            rejects = [plans.library_rejects(library, prefer),
+                       plans.review_rejects(reviews, prefer, aliases=aliases)]
+            steps = plans.build_warehouse(
+                combine_matches(matches), combine_rejects(rejects, aliases), "2024-01-05",
+                alias_rejects=alias_rejects)
+            whole = plans.warehouse_from_sources(library, reviews, feeds, "2024-01-05",
+                                                 prefer=prefer, alias_rejects=alias_rejects)
+            assert sorted(map(str, whole.collect())) == sorted(map(str, steps.collect()))
+
+
 def test_library_is_read_once_for_matches_and_rejects(warehouse_inputs):
     plan = plan_of(plans.library_pairs(warehouse_inputs["library"]))
     assert (scans(plan), shuffles(plan)) == (1, 0)
@@ -66,15 +102,15 @@ def test_library_reads_only_its_columns_and_pushes_the_company(warehouse_inputs)
     assert "active" not in schema and "base_upc" in schema
 
 
-@pytest.mark.parametrize("name", entry_points.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_no_query_uses_python_rows_or_nested_loops(spark, sf_dir, name):
-    plan = plan_of(entry_points.queries()[name](spark, sf_dir))
+    plan = plan_of(QUERIES[name](spark, sf_dir))
     for operator in ("Python", "BroadcastNestedLoopJoin", "CartesianProduct"):
         assert operator not in plan
 
 
 def test_domains_prune_partitions_in_one_scan(spark, sf_dir):
-    plan = plan_of(entry_points.queries()["scan_domains"](spark, sf_dir))
+    plan = plan_of(QUERIES["scan_domains"](spark, sf_dir))
     assert scans(plan) == 1
     assert re.search(r"PartitionFilters: \[domain#\d+ IN \(pets,office_supplies,grocery\)", plan)
 

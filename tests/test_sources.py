@@ -2,6 +2,8 @@
 
 import json
 import os
+import subprocess
+import sys
 from collections import Counter
 
 import pytest
@@ -58,6 +60,23 @@ def test_json_dir_reads_mixed_types_in_subfolders(spark, tmp_path):
         [("7", "0.5", 5), ("7", "0.5", 6), ("7", "0.5", None), ("7", "0.5", None)])
 
 
+def test_json_numbers_reach_whole_columns(spark, tmp_path):
+    dates = ["1600000000", "1600000000.0", "1.6E9", "1600000000.75", '"1600000000.0"', "-5.0", "1e400"]
+    (tmp_path / "x.json").write_text("".join(f'{{"match_date": {d}}}\n' for d in dates))
+    got = sources.scan_json_dir(spark, str(tmp_path), REVIEW).select("match_date").collect()
+    assert multiset(got) == multiset([(1600000000,)] * 5 + [(-5,), (None,)])
+
+
+def test_json_lines_that_cannot_be_read(spark, tmp_path):
+    (tmp_path / "x.json").write_text('{"score": "1"}\n{"score": "2", "workf\n')
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+        sources.scan_json_dir(spark, str(tmp_path), REVIEW).collect()
+    kept = sources.scan_json_dir(spark, str(tmp_path), REVIEW, bad_lines="line")
+    assert multiset(kept.select("score", "line").collect()) == multiset(
+        [("1", None), (None, '{"score": "2", "workf')])
+    assert kept.columns == [*REVIEW.names, "line"]
+
+
 def test_small_files_share_tasks(spark, tmp_path):
     spark.range(64).repartition(64).write.json(str(tmp_path / "x"))
     schema = StructType([StructField("id", StringType())])
@@ -122,6 +141,45 @@ def test_latest_from_the_catalog(spark):
     spark.sql(f"DROP TABLE {table}")
 
 
+def test_listed_partitions_are_values_not_paths(spark):
+    table = "odd_dates"
+    path = scratch_dir(spark, table)
+    values = ["2024-01-05 00:00:00", "2024-01-04 00:00:00", None, "a+b %41=/c"]
+    (spark.createDataFrame([(v, v) for v in values], "load_date string, v string")
+     .write.partitionBy("load_date").option("path", path).saveAsTable(table))
+    listed = sources.table_partitions(spark, table, {"load_date": "string"})
+    assert multiset(listed.collect()) == multiset([(v,) for v in values])
+    got = sources.latest_partition(spark.table(table), ["load_date"], "load_date like '2%'",
+                                   partitions=listed)
+    assert [r.v for r in got.collect()] == ["2024-01-05 00:00:00"]
+    with pytest.raises(LookupError, match="no rows"):
+        sources.latest_partition(spark.table(table).where("v is null"), ["load_date"],
+                                 partitions=listed)
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_next_run_number_reads_the_day_only(spark, dated):
+    df = spark.read.parquet(dated).withColumn("run_no", F.col("run_no").cast("string"))
+    next_run = sources.next_run_number(df, "2024-10-02")
+    plan = next_run._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert all(f"{c}#" in filters for c in ("year", "month", "day"))
+    assert next_run.collect() == [("13",)]
+
+
+def test_next_run_number_from_a_listing_with_odd_runs(spark):
+    table = "runs"
+    rows = [("2024", "01", "05", r, 1) for r in ("2", "x", "")] + [("2024", "1", "6", "9", 1)]
+    (spark.createDataFrame(rows, "year string, month string, day string, run_no string, v int")
+     .write.partitionBy("year", "month", "day", "run_no")
+     .option("path", scratch_dir(spark, table)).saveAsTable(table))
+    keys = {c: "string" for c in ("year", "month", "day", "run_no")}
+    for df in (spark.table(table), sources.table_partitions(spark, table, keys)):
+        assert sources.next_run_number(df, "2024-01-05").collect() == [("03",)]
+        assert sources.next_run_number(df, "2024-01-07").collect() == [("01",)]
+    spark.sql(f"DROP TABLE {table}")
+
+
 @pytest.mark.parametrize("runs,day,want", [
     ([1, 2], "2024-01-05", "03"), ([9], "2024-01-05", "10"), ([99], "2024-01-05", "100"),
     ([7], "2024-01-06", "01"), ([], "2024-01-05", "01")])
@@ -140,7 +198,8 @@ def test_counts(spark):
 
 # ---- Sinks ------------------------------------------------------------------------------
 
-AWKWARD = ["", "a,b", 'q"q', "back\\slash", " blank ", "\\N-not", "é●"]
+AWKWARD = ["", "a,b", 'q"q', "back\\slash", " blank ", "\\N-not", "é●", "l\nm", "c\rd", "e\r\nf",
+           "\n", "\\", "\\n", '"', 'a\n"b",c']
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "csv", "json"])
@@ -200,6 +259,44 @@ def test_write_split(spark, tmp_path):
     assert got == [["a", "b", "d"], ["c"]]
 
 
+@pytest.fixture
+def odd_types(spark):
+    rows = pair(spark, "a").unionByName(pair(spark, "b", kind="odd")).unionByName(
+        pair(spark, "c", kind=None))
+    return stamp_load_date(rows, "2024-01-05")
+
+
+def test_split_refuses_types_of_no_target(spark, tmp_path, odd_types, monkeypatch):
+    staged = []
+    monkeypatch.setattr(sources.sinks, "scratch_dir",
+                        lambda *_: staged.append(str(tmp_path / "own")) or staged[-1])
+    with pytest.raises(ValueError, match="2 rows"):
+        sources.write_split(odd_types, {("exact_match",): str(tmp_path / "m")})
+    assert staged and not os.path.exists(staged[0]) and not (tmp_path / "m").exists()
+
+
+def test_split_writes_the_rest(spark, tmp_path, odd_types, monkeypatch):
+    monkeypatch.setattr(sources.sinks, "scratch_dir", lambda *_: str(tmp_path / "own"))
+    sources.write_split(odd_types, {("exact_match",): str(tmp_path / "m")},
+                        rest=str(tmp_path / "r"))
+    got = [sorted((r.uuid_a, r.type) for r in sources.read_warehouse(spark, str(tmp_path / t))
+                  .collect()) for t in "mr"]
+    assert got == [[("a", "exact_match")], [("b", "odd"), ("c", None)]]
+    assert not (tmp_path / "own").exists()
+
+
+def test_split_of_one_day_does_not_shuffle(spark, tmp_path, odd_types, monkeypatch):
+    plans = []
+    write = sources.sinks.write_warehouse
+    monkeypatch.setattr(sources.sinks, "write_warehouse", lambda df, *args, **options: (
+        plans.append((df, options)) or write(df, *args, **options)))
+    sources.write_split(odd_types, {("exact_match",): str(tmp_path / "m")},
+                        rest=str(tmp_path / "r"))
+    for df, options in plans:
+        assert not options["spread"]
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_spread_writes_few_files_per_date(spark, conf, tmp_path):
     conf({"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB"})
     days = [stamp_load_date(pair(spark, *"abcdefgh"), f"2024-01-0{d}") for d in range(1, 6)]
@@ -216,3 +313,22 @@ def test_scratch_is_below_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     one, two = (scratch_dir(spark, "x") for _ in range(2))
     assert one != two and one.startswith(base.rstrip("/") + "/")
+
+
+def test_scratch_without_the_setting():
+    """On a stock Spark, whose running sessions may not change the setting."""
+    code = """
+from pyspark.sql import SparkSession
+from pairloom.scratch import remove, scratch_dir
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+assert one != two and one.split("/x-")[0] == two.split("/x-")[0]
+spark.range(3).write.parquet(one)
+assert spark.read.parquet(one).count() == 3
+remove(spark, one)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, "SPARK_CONF_DIR": os.path.join(root, "tests"), "PYTHONPATH": root}
+    subprocess.run([sys.executable, "-c", code], check=True, env=env, timeout=120,
+                   capture_output=True)

@@ -46,7 +46,7 @@ def test_job_is_sized_by_its_input(spark, tables, monkeypatch):
     monkeypatch.setattr(plans.job, "write_warehouse", spy)
     names = settings_for(1)
     before = {n: spark.conf.get(n, None) for n in names}
-    for given, parts in ((900 * (128 << 20), 900), (None, 200)):
+    for given, parts in ((230 * (128 << 20), 230), (None, 200)):
         plans.load_warehouse(spark, "pets", "2024-01-05", target=scratch_dir(spark, "sized"),
                              input_bytes=given, **tables)
         assert f", {parts}), ENSURE_REQUIREMENTS" in seen.pop()

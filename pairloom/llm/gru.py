@@ -1,8 +1,10 @@
 """A gated recurrent language model in numpy, with a class-factored output softmax.
 
-Token ids 0 to SIZE - 1 fall into classes of CLASS ids each, in order. A token's probability is
+Token ids go from the most frequent on and fall into classes of neighbouring ids, about as many as
+the square root of their number: few ids to a class where they are frequent. A token's probability is
 that of its class times that of the token within the class. Texts run side by side in lanes; a
-lane's state goes on from window to window and is zero where a text begins.
+lane's state goes on from window to window and is zero where a text begins. Only the rows that a
+window meets are updated: those of its tokens in, and of its targets' classes out.
 """
 
 from __future__ import annotations
@@ -12,44 +14,58 @@ import heapq
 import numpy as np
 
 HIDDEN = 16
-CLASS = 32
-CLASSES = 32
-SIZE = CLASS * CLASSES
-START = SIZE
+SIZE = 1024              # ids of a small network; `initial` takes any number
+START = -1               # the last input row
 LANES = 256
 WINDOW = 16
 
-SHAPES = {
-    "input": (SIZE + 1, 3 * HIDDEN),        # of each token, for update, reset and new state
-    "state": (HIDDEN, 3 * HIDDEN),
-    "class_w": (HIDDEN, CLASSES), "class_b": (CLASSES,),
-    "word_w": (CLASSES, HIDDEN, CLASS), "word_b": (CLASSES, CLASS),
-}
-PARAMETERS = sum(int(np.prod(s)) for s in SHAPES.values())
+PARTS = ("input", "state", "class_w", "class_b", "word_w", "word_b")
+#: One step size to a row, by the squares of all its gradients; the others are learnt by Adam.
+ROWS = ("input", "word_w", "word_b")
 
+#: Arrays by name: PARTS, and `bounds`, the first id of each class and the number of ids.
 Params = dict[str, np.ndarray]
 
 
+def class_bounds(share: np.ndarray) -> np.ndarray:
+    """Classes that grow while their share of the tokens times their number of ids is at most one.
+
+    A class costs every token one logit, and the tokens of the class as many as it has ids.
+    """
+    upto = np.concatenate([[0], np.cumsum(share)]) / share.sum()
+    bounds = [0]
+    for i in range(1, len(share)):
+        if (upto[i + 1] - upto[bounds[-1]]) * (i + 1 - bounds[-1]) > 1:
+            bounds.append(i)
+    return np.array([*bounds, len(share)])
+
+
 def initial(counts: np.ndarray) -> Params:
     """Small random weights; output biases that give each id its share of counts."""
+    share = np.asarray(counts, float) + 0.5
+    bounds = class_bounds(share)
+    size, classes = len(share), len(bounds) - 1
     rng = np.random.default_rng(11)
-    p = {n: rng.normal(0, 0.1, s).astype(np.float32) for n, s in SHAPES.items()}
-    share = (np.asarray(counts, float) + 0.5).reshape(CLASSES, CLASS)
-    p["class_b"] = np.log(share.sum(1)).astype(np.float32)
+    shapes = {"input": (size + 1, 3 * HIDDEN),      # for update, reset and new state
+              "state": (HIDDEN, 3 * HIDDEN), "class_w": (HIDDEN, classes),
+              "word_w": (size, HIDDEN)}
+    p = {n: rng.standard_normal(s, np.float32) * np.float32(0.1) for n, s in shapes.items()}
+    of_class = np.add.reduceat(share, bounds[:-1])
+    p["class_b"] = np.log(of_class).astype(np.float32)
     p["class_b"] -= p["class_b"].max()
-    p["word_b"] = np.log(share / share.sum(1, keepdims=True)).astype(np.float32)
-    return p
+    p["word_b"] = np.log(share / np.repeat(of_class, np.diff(bounds))).astype(np.float32)
+    return p | {"bounds": bounds}
 
 
 def flat(p: Params) -> np.ndarray:
-    return np.concatenate([p[n].ravel() for n in SHAPES])
+    return np.concatenate([p[n].ravel() for n in PARTS])
 
 
-def unflat(values: np.ndarray) -> Params:
-    out, at = {}, 0
-    for name, shape in SHAPES.items():
-        size = int(np.prod(shape))
-        out[name] = values[at:at + size].reshape(shape).astype(np.float32)
+def unflat(like: Params, values: np.ndarray) -> Params:
+    out, at = {"bounds": like["bounds"]}, 0
+    for name in PARTS:
+        size = like[name].size
+        out[name] = values[at:at + size].reshape(like[name].shape).astype(np.float32)
         at += size
     return out
 
@@ -70,31 +86,45 @@ def _step(p: Params, tokens: np.ndarray, h: np.ndarray):
 
 def _logits(states, weights, bias):
     """One row to a class, so that sums over classes run along whole rows."""
-    return np.clip(weights.T @ states.T + bias[:, None], -60, 60)
+    out = weights.T @ states.T
+    out += bias[:, None]
+    return np.clip(out, -60, 60, out=out)
 
 
 def _softmax(x):
-    x = np.exp(x)
+    np.exp(x, out=x)
     x /= x.sum(0)
     return x
 
 
 def _log_chosen(x, chosen):
     """Log-probability of the chosen row in each column."""
-    return x[chosen, np.arange(x.shape[1])] - np.log(np.exp(x).sum(0))
+    found = x[chosen, np.arange(x.shape[1])]
+    return found - np.log(np.exp(x, out=x).sum(0))
+
+
+def _by_class(p: Params, targets: np.ndarray):
+    """The class of each target, and (class, first id, last, places of its targets) of those met."""
+    bounds = p["bounds"].astype(np.int64)
+    group = np.searchsorted(bounds, targets, side="right") - 1
+    order = np.argsort(group.astype(np.int16), kind="stable")
+    ends = np.searchsorted(group[order], np.arange(len(bounds)))
+    return group, [(bounds[c], bounds[c + 1], order[ends[c]:ends[c + 1]])
+                   for c in np.flatnonzero(np.diff(ends))]
 
 
 def log_probability(p: Params, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural logarithm of the probability of each target, given the state before it."""
-    group = targets // CLASS
-    out = _log_chosen(_logits(states, p["class_w"], p["class_b"]), group)
-    order = np.argsort(group.astype(np.int8), kind="stable")
-    bounds = np.searchsorted(group[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        at = order[bounds[c]:bounds[c + 1]]
-        if len(at):
-            out[at] += _log_chosen(_logits(states[at], p["word_w"][c], p["word_b"][c]),
-                                   targets[at] - c * CLASS)
+    group, met = _by_class(p, targets)
+    out = np.concatenate([np.empty(0, states.dtype)] + [
+        _log_chosen(_logits(states[i:i + 4096], p["class_w"], p["class_b"]), group[i:i + 4096])
+        for i in range(0, len(targets), 4096)])
+    for first, last, at in met:
+        for i in range(0, len(at), 4096):
+            part = at[i:i + 4096]
+            out[part] += _log_chosen(
+                _logits(states[part], p["word_w"][first:last].T, p["word_b"][first:last]),
+                targets[part] - first)
     return out
 
 
@@ -143,13 +173,18 @@ def score(p: Params, tokens: np.ndarray, counts: np.ndarray, lanes: int = LANES)
 
 
 class Trainer:
-    """Truncated backpropagation over a stream of texts, with Adam."""
+    """Truncated backpropagation over a stream of texts, with Adam and, for rows, Adagrad."""
 
-    def __init__(self, p: Params, rate: float = 0.01):
+    def __init__(self, p: Params, rate: float = 0.01, row_rate: float = 0.05):
         self.p = {n: v.copy() for n, v in p.items()}
-        self.rate, self.updates, self.tokens = rate, 0, 0
-        self.first = {n: np.zeros_like(v) for n, v in p.items()}
-        self.second = {n: np.zeros_like(v) for n, v in p.items()}
+        self.rate, self.row_rate, self.updates, self.tokens = rate, row_rate, 0, 0
+        dense = [n for n in PARTS if n not in ROWS]
+        self.first = {n: np.zeros_like(p[n]) for n in dense}
+        self.second = {n: np.zeros_like(p[n]) for n in dense}
+        self.squares = {n: np.zeros(len(p[n]), np.float32) for n in ROWS}
+        # Gradients; of ROWS only those of `met` hold.
+        self.grads = {n: np.zeros_like(p[n]) for n in ROWS}
+        self.met: dict[str, list] = {n: [] for n in ROWS}
         self.held = (np.empty(0, np.int64), np.empty(0, bool))
 
     def feed(self, tokens: np.ndarray, starts: np.ndarray, last: bool = False) -> None:
@@ -203,44 +238,51 @@ class Trainer:
             d_state[:, 2 * HIDDEN:] += kept.T @ d_new
             d_h = d_h * (1 - update) + d_kept * reset + d_gates @ to_gates.T
             d_h *= ~starts[:, t, None]
-        used = given.T.ravel()
-        order = np.argsort(used.astype(np.int16), kind="stable")
+        used = given.T.ravel() % len(p["input"])
+        order = np.argsort(used, kind="stable")
         token, first = np.unique(used[order], return_index=True)
-        grads["input"] = np.zeros_like(p["input"])
-        grads["input"][token] = np.add.reduceat(
+        self.grads["input"][token] = np.add.reduceat(
             d_input.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
-        grads["state"] = d_state
-        self._update(grads, targets.size)
+        self.met["input"] = [token]
+        self._update({**grads, **self.grads, "state": d_state}, targets.size)
         return h
 
     def _output(self, states, targets):
         """Gradients of the output layer, and of the states."""
         p = self.p
-        group = targets // CLASS
+        group, met = _by_class(p, targets)
         d_class = _softmax(_logits(states, p["class_w"], p["class_b"]))
         d_class[group, np.arange(len(targets))] -= 1
-        grads = {"class_w": (d_class @ states).T, "class_b": d_class.sum(1),
-                 "word_w": np.zeros_like(p["word_w"]), "word_b": np.zeros_like(p["word_b"])}
+        grads = {"class_w": (d_class @ states).T, "class_b": d_class.sum(1)}
         d_states = (p["class_w"] @ d_class).T.copy()
-        order = np.argsort(group.astype(np.int8), kind="stable")
-        bounds = np.searchsorted(group[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            at = order[bounds[c]:bounds[c + 1]]
-            if len(at):
-                own = states[at]
-                d_word = _softmax(_logits(own, p["word_w"][c], p["word_b"][c]))
-                d_word[targets[at] - c * CLASS, np.arange(len(at))] -= 1
-                grads["word_w"][c], grads["word_b"][c] = (d_word @ own).T, d_word.sum(1)
-                d_states[at] += (p["word_w"][c] @ d_word).T
+        for first, last, at in met:
+            own, weights = states[at], p["word_w"][first:last]
+            d_word = _softmax(_logits(own, weights.T, p["word_b"][first:last]))
+            d_word[targets[at] - first, np.arange(len(at))] -= 1
+            np.matmul(d_word, own, out=self.grads["word_w"][first:last])
+            d_word.sum(1, out=self.grads["word_b"][first:last])
+            d_states[at] += d_word.T @ weights
+        self.met["word_w"] = self.met["word_b"] = [slice(*m[:2]) for m in met]
         return grads, d_states
 
     def _update(self, grads: Params, tokens: int) -> None:
         self.updates += 1
         self.tokens += tokens
         fade1, fade2 = 1 - 0.9 ** self.updates, 1 - 0.99 ** self.updates
-        for name, g in grads.items():
-            g = g / tokens
+        for name in self.first:
+            g = grads[name] / tokens
             m, v = self.first[name], self.second[name]
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             self.p[name] -= self.rate * (m / fade1) / (np.sqrt(v / fade2) + 1e-6)
+        for name in ROWS:
+            p, squares = self.p[name], self.squares[name]
+            for rows in self.met[name]:
+                g = grads[name][rows]
+                if g.ndim > 1:
+                    squares[rows] += np.einsum("ij,ij->i", g, g) / g.shape[1]
+                else:
+                    squares[rows] += g * g
+                size = self.row_rate / (np.sqrt(squares[rows]) + 1e-3)
+                g *= size[:, None] if g.ndim > 1 else size
+                p[rows] -= g

@@ -1,14 +1,15 @@
 """Language-model scores of whole texts: add-one unigrams, and a gated recurrent network.
 
 Tokens are words with A-Z in lower case, then one end token. Counts are taken over every token of
-the training documents, held as 64-bit hashes. The network (`gru`) knows the most frequent tokens
-and one class member for all others; another token's probability is that member's times its
-add-one share of the counts outside the network's vocabulary. So the score is the log10
-probability of the complete text, for any words.
+the training documents, held as 64-bit hashes. The network (`gru`) knows every token whose count
+goes to the tasks (`HEAD`) and one id for all others; another token's probability is that id's
+times its add-one share of the counts outside the network's vocabulary. So the score is the
+log10 probability of the complete text, for any words.
 
 The network learns one pass over all training texts: every task learns on its own part of the
 table from the same start, by truncated backpropagation with the state carried from window to
-window, and the weights are averaged by tokens. Scores carry the state through the whole text.
+window, and what each block of weights has moved by is averaged by tokens over the tasks that moved
+it. Scores carry the state through the whole text.
 
 Counts of a bounded number of frequent tokens (`HEAD`) go to every task; the others are joined
 by hash in a shuffle that can split a hot token. A null or empty text has the end token alone. A null
@@ -33,10 +34,12 @@ from .words import Words, text_slices
 
 HEAD = 1 << 17
 END = np.uint64(0x9E3779B97F4A7C55)      # stands for the end token among word hashes
-OTHER = gru.SIZE - 1
 _HELD = 1 << 21
 _STEPS = 4                               # steps of frequency in a doubling
 _SCALE = 1 << 20                         # weights are summed as whole numbers, in any order alike
+_MOST = 32                               # that a weight moves by
+_UNIT = 1 << 12                          # of tokens, in averages: sums of 10^13 tokens fit
+_BLOCK = 1 << 10                         # weights to a row
 _SLICE_BYTES = 4 << 20
 
 
@@ -95,18 +98,24 @@ class Model:
     distinct: int
     head: np.ndarray            # ascending hashes
     head_counts: np.ndarray
-    ids: np.ndarray             # the network's id of each, or OTHER
+    ids: np.ndarray             # the network's id of each: its rank
     other_total: int            # counts of tokens that the network does not know
     other_distinct: int
-    params: np.ndarray | None = None
+    params: gru.Params | None = None
+
+    @property
+    def other(self) -> int:
+        """The network's id of all tokens that are not in the head."""
+        return len(self.head)
 
     def lookup(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Network ids, and counts (-1: not in the head)."""
         if not len(self.head):
-            return np.full(len(hashes), OTHER), np.full(len(hashes), -1)
+            return np.full(len(hashes), self.other), np.full(len(hashes), -1)
         at = np.minimum(np.searchsorted(self.head, hashes), len(self.head) - 1)
         found = self.head[at] == hashes
-        return np.where(found, self.ids[at], OTHER), np.where(found, self.head_counts[at], -1)
+        return (np.where(found, self.ids[at], self.other),
+                np.where(found, self.head_counts[at], -1))
 
 
 def _summary(counts: DataFrame) -> Model:
@@ -125,46 +134,63 @@ def _summary(counts: DataFrame) -> Model:
     values = np.array([r["count"] for r in head], np.int64)
     order = np.argsort(hashes)
     hashes, values = hashes[order], values[order]
-    # The most frequent tokens get ids in that order; ties by hash.
-    ranked = np.lexsort((hashes, -values))[:OTHER]
-    ids = np.full(len(hashes), OTHER)
-    ids[ranked] = np.arange(len(ranked))
-    known = values[ids < OTHER]
+    # Ids go from the most frequent token on; ties by hash.
+    ids = np.empty(len(hashes), np.int64)
+    ids[np.lexsort((hashes, -values))] = np.arange(len(hashes))
     return Model(total, distinct, hashes, values, ids,
-                 total - int(known.sum()), distinct - len(known))
+                 total - int(values.sum()), distinct - len(values))
 
 
-def _trained(docs: DataFrame, model: Model, text_col: str) -> np.ndarray:
-    """Weights averaged over the tasks' own, each from one pass over its texts."""
-    counts = np.bincount(model.ids, weights=model.head_counts, minlength=gru.SIZE)
-    counts[OTHER] = model.other_total
+def _trained(docs: DataFrame, model: Model, text_col: str) -> gru.Params:
+    """Weights moved as the tasks' own have on average, each in one pass over its texts."""
+    counts = np.empty(len(model.head) + 1)
+    counts[model.ids], counts[model.other] = model.head_counts, model.other_total
     start = gru.initial(counts)
 
+    def rows(places, weights, blocks):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(places, pa.int64()), pa.array(weights, pa.int64()),
+             pa.array([b.tobytes() for b in blocks], pa.binary())],
+            names=["place", "weight", "moved"])
+
     def run(batches):
         trainer = gru.Trainer(start)
-        for rows in batches:
-            for part in text_slices(rows, text_col):
+        for batch in batches:
+            for part in text_slices(batch, text_col):
                 hashes, sizes = token_hashes(Words(part.column(text_col)))
                 starts = np.zeros(len(hashes), bool)
                 starts[np.cumsum(sizes) - sizes] = True
                 trainer.feed(model.lookup(hashes)[0], starts)
         trainer.feed(np.empty(0, np.int64), np.empty(0, bool), last=True)
         if trainer.tokens:
-            whole = np.rint(gru.flat(trainer.p).astype(float) * _SCALE).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([trainer.tokens]), pa.array([whole.tolist()], pa.list_(pa.int64()))],
-                names=["tokens", "weights"])
-
-    weight = F.col("weight").cast("decimal(19,0)") * F.col("tokens").cast("decimal(18,0)")
-    # One row for each weight, whose number is fixed.
-    rows = (docs.select(text_col).mapInArrow(run, "tokens bigint, weights array<bigint>")
-            .select("tokens", F.posexplode("weights").alias("place", "weight"))
-            .groupBy("place").agg(F.sum(weight).alias("sum"), F.sum("tokens").alias("tokens"))
-            .collect())
-    out = gru.flat(start).astype(float)
-    for r in rows:
-        out[r.place] = float(r["sum"]) / r.tokens / _SCALE
-    return out.astype(np.float32)
+            moved = np.clip(gru.flat(trainer.p) - gru.flat(start), -_MOST, _MOST)
+            moved = np.rint(moved * _SCALE).astype(np.int32)
+            moved = np.pad(moved, (0, -len(moved) % _BLOCK)).reshape(-1, _BLOCK)
+            places = np.flatnonzero(moved.any(axis=1))
+            weight = max(1, trainer.tokens // _UNIT)
+            for i in range(0, len(places), 256):
+                at = places[i:i + 256]
+                yield rows(at, np.full(len(at), weight), moved[at])
+
+    def averaged(batches):
+        sums: dict[int, list] = {}
+        for batch in batches:
+            for place, weight, moved in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                held = sums.setdefault(place, [0, np.zeros(_BLOCK, np.int64)])
+                held[0] += weight
+                held[1] += np.frombuffer(moved, np.int32).astype(np.int64) * weight
+        for place, (weight, total) in sums.items():
+            yield rows([place], [weight], [np.rint(total / weight).astype(np.int32)])
+
+    kind = "place bigint, weight bigint, moved binary"
+    found = (docs.select(text_col).mapInArrow(run, kind).repartition("place")
+             .mapInArrow(averaged, kind).select("place", "moved").collect())
+    out = gru.flat(start)
+    for r in found:
+        at = r.place * _BLOCK
+        block = np.frombuffer(r.moved, np.int32)[:len(out) - at]
+        out[at:at + _BLOCK] += block.astype(np.float32) / _SCALE
+    return gru.unflat(start, out)
 
 
 def fit(docs: DataFrame, is_training: Column, folder: str, *, text_col: str = "text") -> Model:
@@ -183,7 +209,6 @@ def score(docs: DataFrame, model: Model, folder: str, *, id_col: str = "doc_id",
     log_ten = np.log(10.0)
 
     def run(batches):
-        params = gru.unflat(model.params)
         # Numbers that no other task gives; the rows are stored before they are used.
         uid = TaskContext.get().partitionId() << 40
         for rows in batches:
@@ -193,8 +218,8 @@ def score(docs: DataFrame, model: Model, folder: str, *, id_col: str = "doc_id",
                 row = np.repeat(np.arange(len(sizes)), sizes)
                 in_head = counts >= 0
                 log_count = np.where(in_head, np.log10(np.maximum(counts, 0) + 1.0), 0.0)
-                other = ids == OTHER
-                network = gru.score(params, ids, sizes) / log_ten
+                other = ids == model.other
+                network = gru.score(model.params, ids, sizes) / log_ten
                 network += np.where(other, log_count - np.log10(
                     model.other_total + model.other_distinct + 1.0), 0.0)
 

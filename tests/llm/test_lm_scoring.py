@@ -130,3 +130,37 @@ def test_training_uses_every_token():
     text = rng.integers(0, 40, 500)
     assert gru.score(trainer.p, text, np.array([500])).mean() > gru.score(
         p, text, np.array([500])).mean()
+
+
+def test_vocabulary_grows_with_the_input(spark, tmp_path):
+    """Each of 3,000 words has an id, weights of its own that training moves, and a class."""
+    rows = [(i, " ".join(f"w{(i * 100 + k) % 3000}" for k in range(300))) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = lm_scoring.fit(docs, lm_scoring.F.lit(True), str(tmp_path))
+    ids, counts = model.lookup(model.head)
+    assert sorted(ids) == list(range(3001)) and (counts > 0).all() and model.other_total == 0
+    start = gru.initial(np.append(model.head_counts[np.argsort(model.ids)], 0))
+    assert len(model.params["bounds"]) > 33
+    moved = np.abs(model.params["input"] - start["input"]).max(axis=1)
+    end = ids[np.searchsorted(model.head, lm_scoring.END)]
+    assert (np.delete(moved[:3001], end) > 0).all()
+
+
+def test_gradients_of_any_number_of_ids():
+    rng = np.random.default_rng(7)
+    p = {k: v.astype(float) for k, v in gru.initial(1e4 / np.arange(1, 3001)).items()}
+    targets = rng.integers(0, 3000, (4, 3))
+    starts = np.zeros((4, 3), bool)
+    given = rng.integers(0, 3000, (4, 3))
+    trainer, held = gru.Trainer(p), {}
+    trainer.p = p
+    trainer._update = lambda grads, tokens: held.update(grads)
+    trainer._window(np.zeros((4, gru.HIDDEN)), given, targets, starts)
+    for name in ("input", "word_w", "word_b"):
+        at = np.unravel_index(np.abs(held[name]).argmax(), held[name].shape)
+        kept, values = p[name][at], []
+        for step in (1e-5, -1e-5):
+            p[name][at] = kept + step
+            values.append(loss(p, given, targets, starts))
+        p[name][at] = kept
+        assert (values[0] - values[1]) / 2e-5 == pytest.approx(held[name][at], rel=1e-3)

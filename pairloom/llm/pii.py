@@ -6,11 +6,12 @@ value away. Corpus counts estimate how much: with n(c, t) the occurrences of ter
 `WINDOW` terms of value c, on its line or beyond but not past another value, n(c) and n(t) those of
 each, and N all terms,
 
-    PMI(c; t) = log2(n(c, t) N / (2 WINDOW n(c) n(t))),    IC(c) = log2(N / (2 WINDOW n(c))).
+    PMI(c; t) = log2(n(c, t) N d / (2 WINDOW n(c) n(t))),    IC(c) = log2(N / (2 WINDOW n(c))).
 
-A term near c discloses the share PMI / IC of what identifies c. From `REMOVE` on it is removed,
-from `GENERALISE` on it is replaced by its class, if at least `SUPPORT` different texts show the two
-together. Terms elsewhere stay, so that texts without personal data never change.
+d = 1 - DISCOUNT / m smooths counts from only m different texts, so that a pair seen once needs a
+rarer term and value than one seen often. A term discloses the share PMI / IC of what identifies c.
+From `REMOVE` on it is removed, from `GENERALISE` on it is replaced by its class: at every place
+outside the base spans, in all texts, whether they hold the value or not.
 
 A null text is an empty one, without spans. Copies of a text get the same spans and count as
 support once; repeated rows are kept. An empty table gives an empty result. Other columns are not
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pairloom.scratch import scratch_dir
 
 WINDOW = 8
-SUPPORT = 3
+DISCOUNT = 0.75
 GENERALISE = 0.8
 REMOVE = 0.95
 
@@ -159,15 +160,45 @@ def _contexts(text: Column, spans: Column) -> Column:
     return F.flatten(F.transform(places, near))
 
 
-def _text_key(text: Column, spans: Column, doc_id: Column) -> Column:
-    """Names a text with spans; other rows get names that match nothing, and are spread."""
-    return F.when(F.size(spans) > 0, F.md5(F.encode(text, "utf-8"))).otherwise(
-        F.hex(F.xxhash64(doc_id, text)))
+def _outside(texts: DataFrame) -> DataFrame:
+    """key, start, end and term of all terms outside the spans of (key, text, spans).
+
+    Arrays are columns of their own, as an expression within a lambda is computed for each element.
+    """
+    ends = F.concat(F.array(F.lit(0).cast("bigint")), F.transform("spans", lambda s: s["end"]))
+    starts = F.concat(F.transform("spans", lambda s: s["start"]),
+                      F.array(F.char_length("text").cast("bigint")))
+    gaps = texts.select("key", "text", ends.alias("ends"), starts.alias("starts")).select(
+        "key", "text", F.inline(F.transform("starts", lambda until, i: F.struct(
+            F.array_max(F.slice("ends", F.lit(1), i + 1)).alias("since"), until.alias("until")))))
+    pieces = gaps.where("until > since").select("key", "since", F.substr(
+        F.col("text"), (F.col("since") + 1).cast("int"),
+        (F.col("until") - F.col("since")).cast("int")).alias("piece"))
+    found = pieces.select("key", "since", F.regexp_extract_all(
+        "piece", F.lit(_TERM), F.lit(0)).alias("found"), F.split("piece", _TERM, -1).alias("rest"))
+    sized = found.select("key", "since", "found", F.transform(
+        F.slice("rest", F.lit(1), F.size("found")),
+        lambda r: F.char_length(r).cast("bigint")).alias("rest"))
+    sized = sized.select("key", "since", "found", "rest", F.zip_with(
+        "rest", "found", lambda r, t: r + F.char_length(t)).alias("steps"))
+    placed = sized.select("key", "found", F.zip_with(
+        running_sum(F.col("steps")), "rest", lambda before, r: before + r).alias("starts"), "since")
+    return placed.select("key", "since", F.inline(F.zip_with("starts", "found", lambda s, t: F.struct(
+        s.alias("at"), t.alias("word"))))).select(
+            "key", (F.col("since") + F.col("at")).alias("start"),
+            (F.col("since") + F.col("at") + F.char_length("word")).alias("end"),
+            F.lower("word").alias("term"))
+
+
+def _text_key(text: Column, doc_id: Column) -> Column:
+    """Names a text; empty ones get names that match nothing, and are spread."""
+    return F.when(F.coalesce(text, F.lit("")) != "", F.md5(F.encode(text, "utf-8"))).otherwise(
+        F.hex(F.xxhash64(doc_id)))
 
 
 def disclosing_terms(docs: DataFrame, *, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
-    """key (of a text) and terms (start, end, removed) that disclose values near them."""
+    """key (of a text) and its terms (start, end, removed) that disclose a value of any text."""
     spark = docs.sparkSession
     folder = scratch_dir(spark, "pii")
 
@@ -181,15 +212,13 @@ def disclosing_terms(docs: DataFrame, *, id_col: str = "doc_id",
     texts = found.groupBy(F.md5(F.encode("text", "utf-8")).alias("key")).agg(
         F.count("*").alias("copies"), F.first("text").alias("text"))
     texts = store(texts.withColumn("spans", base_spans(F.col("text"))), "texts")
-    near = store(texts.select("key", "copies", F.inline(_contexts(F.col("text"), F.col("spans")))),
-                 "near")
+    near = texts.select("key", "copies", F.inline(_contexts(F.col("text"), F.col("spans"))))
     values = texts.select("copies", F.explode("spans").alias("span")).groupBy(
         F.col("span.value").alias("value")).agg(F.sum("copies").alias("n_value"))
     pairs = (near.groupBy("value", "term", "key").agg(
         F.count("*").alias("times"), F.first("copies").alias("copies"))
         .groupBy("value", "term").agg(F.sum(F.col("times") * F.col("copies")).alias("n_pair"),
-                                      F.count("*").alias("texts"))
-        .where(F.col("texts") >= SUPPORT))
+                                      F.count("*").alias("texts")))
     pairs = store(pairs, "pairs")
     # Every term of every text; splitting leaves an empty string where a text begins or ends.
     terms = docs.select(F.explode(F.split(F.lower(text), _NO_TERM)).alias("term"))
@@ -198,14 +227,24 @@ def disclosing_terms(docs: DataFrame, *, id_col: str = "doc_id",
     known = (pairs.join(store(values, "values"), "value").join(counts, "term")
              .withColumn("room", F.lit(float(total)) / (2 * WINDOW)))
     content = F.log2(F.col("room") / F.col("n_value"))
-    pmi = F.log2(F.col("n_pair") * F.col("room") / (F.col("n_value") * F.col("n_term")))
+    smooth = 1 - DISCOUNT / F.col("texts")
+    pmi = F.log2(F.col("n_pair") * smooth * F.col("room") / (F.col("n_value") * F.col("n_term")))
     share = F.when(content > 0, pmi / content)
-    risky = store(known.withColumn("share", share).where(F.col("share") >= GENERALISE).select(
-        "value", "term", (F.col("share") >= REMOVE).alias("removed")), "risky")
+    risky = store(known.withColumn("share", share).where(F.col("share") >= GENERALISE)
+                  .groupBy("term").agg(F.max(F.col("share") >= REMOVE).alias("removed")), "risky")
+    # Texts without spans that name such a term; those with spans are stored.
+    key = _text_key(text, F.col(id_col))
+    naming = docs.select(key.alias("key"), F.explode(F.array_distinct(
+        F.split(F.lower(text), _NO_TERM))).alias("term"))
+    clean = store(naming.join(risky, "term", "left_semi").select("key").distinct().join(
+        texts.select("key"), "key", "left_anti"), "clean")
+    clean = docs.select(key.alias("key"), text.alias("text")).join(clean, "key", "left_semi")
+    clean = clean.groupBy("key").agg(F.first("text").alias("text")).select(
+        "key", "text", F.array().cast(f"array<{_SPAN}>").alias("spans"))
+    every = _outside(texts.select("key", "text", "spans").union(clean))
     # One row for each term of a text that is taken out.
-    return store(near.join(risky, ["value", "term"]).groupBy("key", "start", "end").agg(
-        F.max("removed").alias("removed")).groupBy("key").agg(F.array_sort(F.collect_list(
-            F.struct("start", "end", "removed"))).alias("terms")), "disclosing")
+    return store(every.join(risky, "term").groupBy("key").agg(F.array_sort(F.collect_list(
+        F.struct("start", "end", "removed"))).alias("terms")), "disclosing")
 
 
 def _joined(spans: Column) -> Column:
@@ -223,7 +262,7 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col), text.alias("_text"), base_spans(text).alias("_base"))
     rows = rows.select(id_col, "_base", _text_key(
-        F.col("_text"), F.col("_base"), F.col(id_col)).alias("key"))
+        F.col("_text"), F.col(id_col)).alias("key"))
     joined = rows.join(terms, "key", "left")
     names = F.array(*(F.lit(k) for k in (*KINDS, "term")))
     base = F.transform("_base", lambda s: F.struct(
@@ -255,8 +294,7 @@ def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.struct("*").alias("_row")).select(
         "_row", base_spans(F.col(f"_row.{text_col}")).alias("_base"))
     rows = rows.withColumn("key", _text_key(
-        F.coalesce(F.col(f"_row.{text_col}"), F.lit("")), F.col("_base"),
-        F.col(f"_row.{id_col}")))
+        F.col(f"_row.{text_col}"), F.col(f"_row.{id_col}")))
     joined = rows.join(terms, "key", "left")
     text = F.col(f"_row.{text_col}")
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))

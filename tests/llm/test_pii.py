@@ -132,3 +132,34 @@ def test_awkward_rows(awkward):
 def test_main_path_is_native(secrets):
     plan = pii.find(secrets)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_terms_are_taken_out_wherever_they_stand(spark, tmp_path):
+    """Far from the value, behind another span, and in texts without the value."""
+    far = " ".join(["common"] * 12)
+    rows = [(i, f"common x{i} zorgle kid@mail.com {far}") for i in range(6)]
+    rows += [(6, f"kid@mail.com {far} 10.0.0.1 Zorgle"), (7, f"the word zorgle {far}")]
+    rows += [(100 + i, f"common common clean text {i} common") for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    frame.write.parquet(str(tmp_path / "far"))
+    frame = spark.read.parquet(str(tmp_path / "far"))
+    spans = {r.doc_id: r.spans for r in pii.find(frame).collect()}
+    assert spans[0] == "term:10:16,email:17:29"
+    assert spans[6].startswith("email:0:12,ip:") and ",term:" in spans[6]
+    assert spans[7] == "term:9:15" and spans[100] == ""
+    texts = {r.doc_id: r.text for r in pii.sanitise(frame).collect()}
+    assert "orgle" not in texts[6] + texts[7]
+
+
+def test_rare_values_are_decided(spark, tmp_path):
+    """A value of two texts has a term removed; one of a single text has it generalised, as the
+    corpus is large enough for its neighbour to be no accident."""
+    rows = [(i, f"common zorgle kid@mail.com common {i % 7}") for i in range(2)]
+    rows += [(2, "common quux other@mail.com common")]
+    rows += [(100 + i, f"common {i % 9} " * 500) for i in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    frame.write.parquet(str(tmp_path / "rare"))
+    spans = {r.doc_id: r.spans for r in pii.find(
+        spark.read.parquet(str(tmp_path / "rare"))).collect()}
+    assert spans[0].startswith("term:7:13,email") and spans[1].startswith("term:7:13,email")
+    assert spans[2].startswith("term:7:11,email") and spans[100] == ""

@@ -355,13 +355,16 @@ def keep_one(docs: DataFrame, *, n: int = N, percent: int = PERCENT, id_col: str
     """The rows of `docs`, with all their columns, of one document to each component.
 
     That is the one of least id; of equal ids with other texts, that of least text hash; of rows
-    equal in id and text, one. Rows without an id stay where no row of their component has one.
+    equal in id and text, one. Where no row of a component has an id, it is that of least text hash.
     """
     join = _Join(docs, id_col, text_col, n, percent)
     found = join.store(join.run(), "found")
     kept = found.where("id = component_id").groupBy("id", "group").agg(F.min("key").alias("key"))
-    nameless = found.where("id is null and component_id is null").select("id", "key").distinct()
-    kept = join.store(kept.select("id", "key").union(nameless), "kept")
+    nameless = found.where("id is null and component_id is null")
+    alone = nameless.where("group is null").select("id", "key").distinct()
+    least = nameless.where("group is not null").groupBy("group").agg(
+        F.first("id").alias("id"), F.min("key").alias("key")).select("id", "key")
+    kept = join.store(kept.select("id", "key").union(alone).union(least), "kept")
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"),
                        text_key(F.col(text_col)).alias("key"))
     rows = rows.groupBy("id", "key").agg(F.first("row").alias("row"))

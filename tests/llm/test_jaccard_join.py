@@ -107,3 +107,12 @@ def test_components_of_a_long_chain(spark, tmp_path):
     assert {roots[n] for n in names[:100]} == {min(names[:100])}
     assert {roots[n] for n in names[120:151]} == {min(names[120:151])}
     assert len(roots) == 131
+
+
+def test_keep_one_of_near_copies_without_ids(spark, tmp_path):
+    body = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, body + " one"), (None, body + " two"), (None, "another text of seven words in all")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "t"))
+    docs = spark.read.parquet(str(tmp_path / "t"))
+    texts = [r.text for r in jaccard_join.keep_one(docs, n=5, percent=80).collect()]
+    assert len(texts) == 2 and rows[2][1] in texts

@@ -16,6 +16,7 @@ from . import (
     pii,
     quality_classifier,
     quality_rules,
+    suffix_dedup,
     topk_search,
     url_filters,
     warc,
@@ -115,3 +116,8 @@ def op10_lm_scoring(spark, sf_dir):
     return lm_scoring.score_held_out(docs, ~held_out).select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens",
         "base_score", "score")
+
+
+@query
+def op13_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.find(table(spark, sf_dir, "documents")).drop("removed")

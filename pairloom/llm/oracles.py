@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard_join, topk_search, url_filters, warc
+from . import jaccard_join, topk_search, url_filters, vector_codes, warc
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -122,5 +122,52 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN page_id IS DISTINCT FROM keeper THEN keeper END AS refers_to
 FROM kept"""
 
+def _nearest(round_: int) -> str:
+    """Each part's entry of least distance, and that distance, by a round's codebook."""
+    return f"""
+  SELECT place, vec_id, min(struct_pack(far, entry)) AS best FROM (
+    SELECT p.place, p.vec_id, b.entry, sum((p.x - b.x) * (p.x - b.x)) AS far
+    FROM parts AS p JOIN book{round_} AS b USING (place, dim) GROUP BY p.place, p.vec_id, b.entry)
+  GROUP BY place, vec_id"""
+
+
+def _vector_codes() -> str:
+    rounds = "".join(f"""
+near{r} AS MATERIALIZED ({_nearest(r)}),
+mean{r} AS (
+  SELECT p.place, n.best.entry AS entry, p.dim,
+    CAST(floor(CAST(sum(p.x) AS DOUBLE) / count(*)) AS BIGINT) AS x
+  FROM parts AS p JOIN near{r} AS n USING (place, vec_id) GROUP BY ALL),
+book{r + 1} AS MATERIALIZED (
+  SELECT place, entry, dim, coalesce(m.x, b.x) AS x
+  FROM book{r} AS b LEFT JOIN mean{r} AS m USING (place, entry, dim)),"""
+                     for r in range(vector_codes.ROUNDS))
+    last = vector_codes.ROUNDS
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, label, len(embedding) // {vector_codes.PARTS} AS width,
+    list_transform(embedding, lambda x:
+      CAST(floor({vector_codes.SCALE:.0f} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT vec_id, (i - 1) // width AS place, (i - 1) % width AS dim, v[i] AS x
+  FROM (SELECT vec_id, width, v, unnest(range(1, len(v) + 1)) AS i FROM v)),
+book0 AS MATERIALIZED (
+  SELECT place, entry, dim, x FROM parts JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v
+    QUALIFY entry < {vector_codes.ENTRIES}) USING (vec_id)),{rounds}
+last AS MATERIALIZED ({_nearest(last)}),
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', best.entry), '' ORDER BY place) AS code,
+    CAST(sum(best.far) AS BIGINT) AS error FROM last GROUP BY vec_id)
+SELECT vec_id, code, error,
+  CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY place, entry, dim))
+   FROM book{last}) AS codebooks_sha256
+FROM coded JOIN v USING (vec_id)"""
+
+
 ORACLES = {"op1_topk": TOPK, "op4_url_filters": URL_FILTERS, "op7_jaccard_join": JACCARD_JOIN,
-           "op8_warc": WARC}
+           "op8_warc": WARC, "op12_vector_codes": _vector_codes()}

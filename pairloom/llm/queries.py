@@ -19,7 +19,9 @@ from . import (
     suffix_dedup,
     topk_search,
     url_filters,
+    vector_codes,
     warc,
+    whitening,
 )
 from .oracles import ORACLES
 from .shipping import ship
@@ -118,6 +120,17 @@ def op10_lm_scoring(spark, sf_dir):
         "base_score", "score")
 
 
+@query
+def op11_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn(
+        "deviation", F.col("deviation").try_cast("bigint"))
+
+
+@query
+def op12_vector_codes(spark, sf_dir):
+    return vector_codes.encode(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op13_suffix_dedup(spark, sf_dir):
     return suffix_dedup.find(table(spark, sf_dir, "documents")).drop("removed")

@@ -7,7 +7,8 @@ the same name, wherever they are. Consecutive windows of one name are a piece, a
 them; pieces whose name occurs once hold nothing that repeats. Of equal pieces, which repeat all
 through, one is compared with the other pieces of its name; pieces are dealt by name to shards of
 `SHARD_BYTES`, and each shard has a transform of its own. A name of more than `LARGE` different
-pieces is not sent to one shard: its windows become pieces of their own, each named by all its
+pieces is not sent to one shard: its pieces are cut again by longer strings, so that what they share
+becomes equal pieces. Where even these are too many for a shard, windows are named by all their
 bytes, and those that occur twice repeat. Nothing is left out either way.
 
 Texts are compared as UTF-8 bytes, null as empty, and matches never cross texts. Rows with the same
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -53,8 +55,8 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 class Pieces:
     """The pieces of some byte strings: those of `data` between `offsets`."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, least: int):
-        short = max(1, least * 2 // 5)
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, least: int, tenths: int = 4):
+        short = max(1, least * tenths // 10)
         n = len(data)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(_BYTE_KEYS[data] * _power_table(_BASE, n), out=sums[1:])
@@ -85,6 +87,16 @@ class Pieces:
         self.twice = moved[last] != moved[first]
 
 
+_PIECE = "name bigint, hash bigint, key binary, start bigint, size bigint, twice boolean"
+
+
+def _piece_rows(pieces: Pieces, names: np.ndarray, keys: pa.Array, starts) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(names.view(np.int64)), pa.array(pieces.hashes.view(np.int64)), keys,
+         pa.array(starts), pa.array(pieces.sizes), pa.array(pieces.twice)],
+        names=["name", "hash", "key", "start", "size", "twice"])
+
+
 def _windows(data: np.ndarray, least: int) -> np.ndarray:
     """A hash of every `least` bytes of a string."""
     n = len(data)
@@ -114,9 +126,6 @@ def _blocks(data: np.ndarray, offsets: np.ndarray,
         yield block, np.array([0, len(block)]), np.zeros(1, np.int64), np.array([base])
 
 
-_PIECE = "name bigint, hash bigint, key binary, start bigint, size bigint, twice boolean"
-
-
 def _all_pieces(docs: DataFrame, least: int) -> DataFrame:
     """All pieces of the frame's texts (key, text)."""
     def run(batches):
@@ -127,17 +136,28 @@ def _all_pieces(docs: DataFrame, least: int) -> DataFrame:
                     if len(data) < least:
                         continue
                     pieces = Pieces(data, offsets, least)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(pieces.names.view(np.int64)),
-                         pa.array(pieces.hashes.view(np.int64)),
-                         keys.take(pa.array(rows[pieces.text])),
-                         pa.array(base[pieces.text] + pieces.starts), pa.array(pieces.sizes),
-                         pa.array(pieces.twice)],
-                        names=["name", "hash", "key", "start", "size", "twice"])
+                    yield _piece_rows(pieces, pieces.names,
+                                      keys.take(pa.array(rows[pieces.text])),
+                                      base[pieces.text] + pieces.starts)
 
     return docs.mapInArrow(run, _PIECE)
 
 
+def _smaller_pieces(pieces: DataFrame, least: int) -> DataFrame:
+    """Pieces (name, key, start, piece) cut again, by longer strings; their names hold both."""
+    def run(batches):
+        for batch in batches:
+            for part in text_slices(batch, "piece"):
+                names = part.column("name").to_numpy().view(np.uint64)
+                starts = part.column("start").to_numpy()
+                smaller = Pieces(*_bytes(part.column("piece")), least, tenths=9)
+                yield _piece_rows(smaller, mix(names[smaller.text] ^ smaller.names),
+                                  part.column("key").take(pa.array(smaller.text)),
+                                  starts[smaller.text] + smaller.starts)
+
+    return pieces.select("name", "key", "start", "piece").mapInArrow(run, _PIECE)
+
+
 def _cut(touched: DataFrame, large: bool) -> DataFrame:
     """The wanted pieces of the texts: name, key, start, alone, piece."""
     def run(batches):
@@ -216,46 +236,59 @@ class _Search:
         frame.write.parquet(f"{self.folder}/{name}")
         return self.spark.read.parquet(f"{self.folder}/{name}")
 
-    def run(self) -> tuple[DataFrame, DataFrame]:
-        """Texts that may repeat in part (key, text, needs), and spans (key, start, stop)."""
-        pieces = self.store(_all_pieces(self.docs, self.least), "pieces")
+    def level(self, pieces: DataFrame, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Pieces of names that may repeat; of these, one of each to compare; spans of copies."""
+        pieces = self.store(pieces, f"pieces{name}")
         names = self.store(pieces.groupBy("name").agg(
             F.count("*").alias("n"), F.max("twice").alias("twice")).where(
-                "n > 1 or twice").select("name"), "names")
-        shared = self.store(pieces.join(names, "name"), "shared")
-        remove_folder(self.spark, f"{self.folder}/pieces")
+                "n > 1 or twice").select("name"), f"names{name}")
+        shared = self.store(pieces.join(names, "name"), f"shared{name}")
+        remove_folder(self.spark, f"{self.folder}/pieces{name}")
         kinds = self.store(shared.groupBy("name", "hash").agg(
             F.count("*").alias("n"), F.max("twice").alias("twice"),
-            F.min(F.struct("key", "start", "size")).alias("one")), "kinds")
+            F.min(F.struct("key", "start", "size")).alias("one")), f"kinds{name}")
         different = self.store(kinds.groupBy("name").agg(
             F.count("*").alias("different"), F.max("twice").alias("any_twice")).where(
-                "different > 1 or any_twice"), "different")
+                "different > 1 or any_twice"), f"different{name}")
         wanted = self.store(kinds.join(different, "name").select(
             "name", "one.*", (F.col("n") == 1).alias("alone"),
-            (F.col("different") > self.large).alias("large")), "wanted")
-        size = wanted.agg(F.sum(F.when(~F.col("large"), F.col("size"))).alias("bytes"),
-                          F.max("large").alias("large")).first()
-        needs = wanted.groupBy("key").agg(F.collect_list(F.struct(
-            "name", "start", "size", "alone", "large")).alias("needs"))
-        touched = shared.select("key").distinct().join(needs, "key", "left")
-        texts = self.docs.groupBy("key").agg(F.first("text").alias("text"))
-        touched = self.store(texts.join(touched, "key"), "touched")
+            (F.col("different") > self.large).alias("large")), f"wanted{name}")
         again = kinds.where("n > 1").select("name", "hash")
-        spans = [shared.join(again, ["name", "hash"]).select(
-            "key", "start", (F.col("start") + F.col("size")).alias("stop"))]
-        if size.bytes:
-            shards = -(-size.bytes // self.shard_bytes)
-            spans.append(self.store(_compare(_cut(touched, False), shards, self.least), "met"))
-        if size.large:
-            windows = self.store(_each_window(_cut(touched, True), self.least), "windows")
+        copies = shared.join(again, ["name", "hash"]).select(
+            "key", "start", (F.col("start") + F.col("size")).alias("stop"))
+        return shared, wanted, copies
+
+    def compare(self, texts: DataFrame, wanted: DataFrame, name: str) -> list[DataFrame]:
+        """Spans of the wanted pieces that go to shards; none if all are of large names."""
+        size = wanted.where("not large").agg(F.sum("size")).first()[0]
+        if not size:
+            return []
+        shards = -(-size // self.shard_bytes)
+        return [self.store(_compare(_cut(texts, False), shards, self.least), f"met{name}")]
+
+    def run(self) -> tuple[DataFrame, DataFrame]:
+        """Texts that may repeat in part (key, text, needs), and spans (key, start, stop)."""
+        shared, wanted, copies = self.level(_all_pieces(self.docs, self.least), "")
+        texts = self.docs.groupBy("key").agg(F.first("text").alias("text"))
+        touched = self.store(texts.join(
+            shared.select("key").distinct().join(_needs(wanted), "key", "left"), "key"), "touched")
+        spans = [copies, *self.compare(touched, wanted, "")]
+        if not wanted.where("large").isEmpty():
+            _, wanted, copies = self.level(_smaller_pieces(_cut(touched, True), self.least), "_2")
+            cut = self.store(touched.select("key", "text").join(_needs(wanted), "key"), "cut_2")
+            spans += [copies, *self.compare(cut, wanted, "_2")]
+            windows = self.store(_each_window(_cut(cut, True), self.least), "windows")
             often = self.store(windows.groupBy("name", "hash").count().where(
                 "count > 1").drop("count"), "often")
             spans.append(windows.join(often, ["name", "hash"]).select(
                 "key", "start", (F.col("start") + self.least).alias("stop")))
-        found = spans[0]
-        for more in spans[1:]:
-            found = found.union(more)
-        return touched, self.store(found.distinct(), "spans")
+        return touched, self.store(reduce(DataFrame.union, spans).distinct(), "spans")
+
+
+def _needs(wanted: DataFrame) -> DataFrame:
+    """The wanted pieces of each text."""
+    return wanted.groupBy("key").agg(F.collect_list(F.struct(
+        "name", "start", "size", "alone", "large")).alias("needs"))
 
 
 def _merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

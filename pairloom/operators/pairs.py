@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import canonical, replace_all, turned
 from ..rules import ALIASES, REJECT
 from ..schema import JOIN_KEYS, LABELLED, PAIR, SIDES, quoted, union_conformed
+from ..scratch import scratch_dir
 from .projections import add_stores
 
 Sides = Sequence[tuple[str, str]]
@@ -58,10 +59,13 @@ def _ranked(order: Sequence[str], columns: Sequence[str],
     """Struct fields whose comparison is the survivor order over all of `columns`."""
     first = [f for c in order for f in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))]
     others = [c for c in columns if c not in order]
-    if aliases:
-        first += [replace_all(c, aliases).alias(f"_shown_{c}") if c in _SIDE_COLUMNS
-                  else F.col(c).alias(f"_shown_{c}") for c in others]
-    return first + [F.col(c) for c in others]
+    if not aliases:
+        return first + [F.col(c) for c in others]
+    # Where no alias is rewritten a column stands once, at its place in the order.
+    shown = [c for c in others if c in _SIDE_COLUMNS]
+    first += [replace_all(c, aliases).alias(f"_shown_{c}") if c in shown else F.col(c)
+              for c in others]
+    return first + [F.col(c) for c in shown]
 
 
 def dedupe_pairs(df: DataFrame, keys: Sequence[str] = JOIN_KEYS,
@@ -89,8 +93,13 @@ def earliest_per_pair(df: DataFrame, keys: Sequence[str] = JOIN_KEYS,
     """All rows that hold the first place of their pair, ties kept, nulls first.
 
     The first places are aggregated and joined back rather than ranked in a window: a window
-    would gather all ties of a pair in one task, while the join may split a hot pair.
+    would gather all ties of a pair in one task, while the join may split a hot pair. The rows are
+    stored first, in the shared scratch folder, so that what they come from is computed once; the
+    aggregation reads the keys and the order of them only.
     """
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, "first_places")
+    df.write.parquet(path)
+    df = spark.read.schema(df.schema).parquet(path)
     first = (df.groupBy(*keys).agg(F.min(F.struct(order)).alias("_first"))
              .select(*[F.col(k).alias(f"_{k}") for k in keys],
                      F.col("_first")[order].alias(f"_{order}")))

@@ -46,11 +46,12 @@ def apply_settings(spark: SparkSession, input_bytes: int,
         spark.conf.set(name, value)
 
 
-def planned_bytes(*frames: DataFrame) -> int:
+def planned_bytes(*frames: DataFrame) -> int | None:
     """Bytes that the frames read: the planner's file sizes, less pruned partitions.
 
     The planner does not know the size of a partitioned table that is read whole; that one is
-    asked of the storage, which lists files but reads none.
+    asked of the storage, which lists files but reads none. None if a frame comes from something
+    else whose size is not known, as rows of the driver or of an RDD, or an outer database.
     """
     total = 0
     for frame in frames:
@@ -59,22 +60,36 @@ def planned_bytes(*frames: DataFrame) -> int:
         leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
         for leaf in (leaves.apply(i) for i in range(leaves.size())):
             size = int(str(leaf.stats().sizeInBytes()))
-            total += size if size < unknown else _stored_bytes(spark, leaf)
+            if size >= unknown:
+                size = _stored_bytes(spark, leaf)
+                if size is None:
+                    return None
+            total += size
     return total
 
 
-def _stored_bytes(spark: SparkSession, leaf) -> int:
-    """Bytes below the folders of a file relation."""
+def _stored_bytes(spark: SparkSession, leaf) -> int | None:
+    """Bytes below the folders of a file relation or of a Hive table; None for other leaves."""
+    kind = leaf.getClass().getSimpleName()
+    if kind == "LogicalRelation" and (
+            leaf.relation().getClass().getSimpleName() == "HadoopFsRelation"):
+        found = leaf.relation().location().rootPaths()
+        paths = [found.apply(i) for i in range(found.size())]
+    elif kind == "HiveTableRelation":
+        paths = [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(leaf.tableMeta().location())]
+    else:
+        return None
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    paths = leaf.relation().location().rootPaths()
-    return sum(p.getFileSystem(hadoop).getContentSummary(p).getLength()
-               for p in (paths.apply(i) for i in range(paths.size())))
+    return sum(p.getFileSystem(hadoop).getContentSummary(p).getLength() for p in paths)
 
 
 @contextmanager
-def sized_for(spark: SparkSession, input_bytes: int,
+def sized_for(spark: SparkSession, input_bytes: int | None,
               most_partitions: int = MOST_PARTITIONS) -> Iterator[None]:
-    """The settings for an input, for as long as a job takes."""
+    """The settings for an input, for as long as a job takes; the session's own if it is None."""
+    if input_bytes is None:
+        yield
+        return
     wanted = settings_for(input_bytes, most_partitions)
     before = {name: spark.conf.get(name, None) for name in wanted}
     apply_settings(spark, input_bytes, most_partitions)

@@ -8,7 +8,7 @@ compare as they read once store aliases are rewritten, which is the text that th
 from __future__ import annotations
 
 from .fixtures import FX_MATCH_LIBRARY, FX_PAIRS, FX_REVIEWS, FX_SNAPSHOTS
-from .queries import LOAD_DAY, RUN_DAY
+from .queries import LOAD_DAY, NEXT_DAY, RUN_DAY
 
 PAIR = ["uuid_a", "uuid_b", "sku_uuid_a", "sku_uuid_b", "score", "base_source_store",
         "comp_source_store", "match_timestamp", "match_source", "type", "segment"]
@@ -326,6 +326,13 @@ def bare_pairs_sql() -> str:
     return with_(*parts, body=f"SELECT * FROM ({' UNION ALL '.join(sources)}) WHERE {BARE}")
 
 
+def on_days_sql(sql: str) -> str:
+    """The rows, once with each of the two load dates."""
+    return " UNION ALL ".join(
+        "SELECT *, '{}' AS year, '{}' AS month, '{}' AS day FROM ".format(*day.split("-"))
+        + f"({sql})" for day in (LOAD_DAY, NEXT_DAY))
+
+
 def warehouse_sql(prefer: str = "upc", prune: bool = False, undirected: bool = False,
                   alias_rejects: bool = False, written: str | None = None, **limits) -> str:
     year, month, day = LOAD_DAY.split("-")
@@ -417,6 +424,10 @@ ORACLES: dict[str, str] = {
     "latest_partition_and_run": snapshots_sql(
         "SELECT * FROM fx_snapshots WHERE (year, month, day, run_no) = (SELECT (year, month, day, "
         "run_no) FROM fx_snapshots ORDER BY year DESC, month DESC, day DESC, run_no DESC LIMIT 1)"),
+    "latest_partition_within": snapshots_sql(
+        "SELECT *, 'run=2' AS run, substr(load_date, 1, 7) AS load_month FROM fx_snapshots WHERE "
+        "run_no = 2 AND substr(load_date, 1, 7) = (SELECT substr(max(load_date), 1, 7) FROM "
+        "fx_snapshots WHERE run_no = 2)"),
     "scan_in_list": pairs_sql(
         "SELECT * FROM fx_pairs WHERE domain IN ('pets', 'toys') AND year = '1996'"),
     "scan_domains": pairs_sql(f"SELECT * FROM fx_pairs WHERE {THREE_DOMAINS}"),
@@ -431,6 +442,20 @@ ORACLES: dict[str, str] = {
     "write_warehouse": warehouse_sql(),
     "write_warehouse_csv": warehouse_sql(),
     "write_warehouse_json": warehouse_sql(),
+    "stage_json": reviews_sql(on_days_sql(
+        "SELECT base_sku, match_date FROM fx_reviews WHERE CAST(match_date AS BIGINT) % 7 = 0")),
+    "publish_day": on_days_sql(f"SELECT {PAIR_LIST} FROM ({warehouse_sql()})"),
+    "count_metrics": f"""SELECT count(*) AS row_count,
+        count(*) FILTER (sku_uuid_a IS NULL OR sku_uuid_b IS NULL) AS null_keys,
+        count(*) FILTER ({BARE}) AS bare_keys,
+        count(*) FILTER (type = 'exact_match') AS type_exact_match,
+        count(*) FILTER (type = 'similar_match') AS type_similar_match,
+        count(*) FILTER (type = 'not_a_match') AS type_not_a_match,
+        count(*) FILTER (type IS NULL OR type NOT IN ('exact_match', 'similar_match',
+          'not_a_match')) AS type_other
+        FROM ({warehouse_sql()})""",
+    "order_for_lookup": keyed_pairs_sql(f"SELECT {PAIR_LIST} FROM keyed"),
+    "quarantine_by_day": on_days_sql(bare_pairs_sql()),
     "write_split": warehouse_sql(
         written="CASE WHEN type = 'not_a_match' THEN 'rejects' ELSE 'matches' END"),
     "write_split_rest": f"""SELECT * REPLACE (CASE WHEN type <> 'not_a_match' THEN type END AS type)

@@ -25,7 +25,15 @@ from pairloom.rules import (
     UNDECIDED_ANSWERS,
     VERIFIED_STATES,
 )
-from pairloom.schema import FEED, PAIR, REVIEW, conform, resolve_types, union_conformed
+from pairloom.schema import (
+    DATED_LABELLED,
+    FEED,
+    PAIR,
+    REVIEW,
+    conform,
+    resolve_types,
+    union_conformed,
+)
 from pairloom.scratch import scratch_dir
 
 from .fixtures import feeds, fixture, library, review_sources
@@ -34,6 +42,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 LOAD_DAY = "2024-01-05"
+NEXT_DAY = "2024-01-06"
 RUN_DAY = "1997-03-04"
 
 
@@ -187,6 +196,45 @@ def scan_domains(spark, sf):
     return sources.scan_domains(spark, _pairs_table(spark, sf))
 
 
+@query
+def latest_partition_within(spark, sf):
+    """Of a table by run and month, where the catalog looks up one run's months."""
+    table = "fx_runs_" + hashlib.sha256(sf.encode()).hexdigest()[:8]
+
+    def write(path):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        rows = _snapshots(spark, sf).withColumns({
+            "run": F.concat(F.lit("run="), F.col("run_no")),
+            "load_month": F.substring("load_date", 1, 7)})
+        rows.write.partitionBy("run", "load_month").option("path", path).saveAsTable(table)
+    _copy(spark, sf, table, write)
+    listed = sources.table_partitions(spark, table, {"run": "string", "load_month": "string"},
+                                      within={"run": "run=2"})
+    return sources.latest_partition(spark.table(table), ["load_month"], F.col("run") == "run=2",
+                                    partitions=listed)
+
+
+@query
+def stage_json(spark, sf):
+    """Bad lines of review files, which are kept by day; every seventh date's are cut short."""
+    def write(path):
+        lines = _reviews(spark, sf).select(F.to_json(F.struct("*")).alias("line"), "match_date")
+        cut = F.col("line").substr(F.lit(1), F.length("line") - 1)
+        lines.select(F.when(F.col("match_date").cast("bigint") % 7 == 0, cut).otherwise(
+            F.col("line")).alias("line")).write.text(f"{path}/lines")
+        for day in (LOAD_DAY, NEXT_DAY):
+            _, bad, counts = sources.stage_json(spark, f"{path}/lines", REVIEW)
+            sources.replace_day(bad, f"{path}/bad", day, counts["bad_lines"])
+    path = _copy(spark, sf, "fx_reviews_cut", write)
+    # The cut lines as rows again: what is missing is their last bracket.
+    kept = spark.read.schema("line string, year string, month string, day string").parquet(
+        f"{path}/bad")
+    whole = F.concat("line", F.lit("}"))
+    return kept.select(F.get_json_object(whole, "$.base_sku").alias("base_sku"),
+                       F.get_json_object(whole, "$.match_date").alias("match_date"),
+                       "year", "month", "day")
+
+
 @query
 def union_sources(spark, sf):
     return plans.union_sources(review_sources(spark, sf))
@@ -222,6 +270,46 @@ def write_warehouse_json(spark, sf):
     return sources.read_warehouse(spark, _warehouse_copy(spark, sf, "json"), "json")
 
 
+@query
+def publish_day(spark, sf):
+    """Two days of a table, the first published twice and the second laid out for lookups."""
+    table = "fx_published_" + hashlib.sha256(sf.encode()).hexdigest()[:8]
+
+    def write(path):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        rows = warehouse_from_sources(spark, sf)
+        limits = [sources.Limit("row_count", least=1), sources.Limit("type_other", most=0)]
+        sources.publish_day(rows.where(F.col("type") == REJECT), table, LOAD_DAY, path=path)
+        sources.publish_day(rows, table, LOAD_DAY, limits=limits)
+        sources.publish_day(rows, table, NEXT_DAY, limits=limits, lookup=["sku_uuid_a"])
+        sources.drop_old_versions(spark, table, LOAD_DAY)
+    _copy(spark, sf, table, write)
+    return spark.table(table)
+
+
+@query
+def count_metrics(spark, sf):
+    return sources.count_metrics(warehouse_from_sources(spark, sf))
+
+
+@query
+def order_for_lookup(spark, sf):
+    return sources.order_for_lookup(_keyed_pairs(spark, sf), within=())
+
+
+@query
+def quarantine_by_day(spark, sf):
+    """Pairs without ids of two days' loads, apart from the others in one pass each."""
+    def write(path):
+        labelled = plans.labelled_pairs(library(spark, sf), review_sources(spark, sf),
+                                        feeds(spark, sf))
+        for day in (LOAD_DAY, NEXT_DAY):
+            _, bare, count = plans.split_bare(labelled)
+            sources.replace_day(bare, path, day, count)
+    path = _copy(spark, sf, "quarantine", write)
+    return sources.read_warehouse(spark, path, schema=DATED_LABELLED)
+
+
 @query
 def write_split(spark, sf):
     def write(path):

@@ -34,11 +34,16 @@ def lower_cols(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({c: F.lower(c) for c in names})
 
 
-def stamp_load_date(df: DataFrame, day: datetime.date | str) -> DataFrame:
-    """Add year, month and day as zero-padded text. The day is given, so a rerun repeats."""
+def load_date_parts(day: datetime.date | str) -> dict[str, str]:
+    """Year, month and day as zero-padded text, by column."""
     if isinstance(day, str):
         day = datetime.date.fromisoformat(day)
-    return tag(df, **dict(zip(LOAD_DATE, (str(day.year), f"{day:%m}", f"{day:%d}"))))
+    return dict(zip(LOAD_DATE, (str(day.year), f"{day:%m}", f"{day:%d}")))
+
+
+def stamp_load_date(df: DataFrame, day: datetime.date | str) -> DataFrame:
+    """Add the day's parts as columns. The day is given, so a rerun repeats."""
+    return tag(df, **load_date_parts(day))
 
 
 def add_uuids(df: DataFrame) -> DataFrame:

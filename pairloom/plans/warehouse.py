@@ -43,13 +43,17 @@ def build_warehouse(matches: DataFrame, rejects: DataFrame, day: datetime.date |
     return _finish(combine([matches, rejects]), day, prune, undirected, aliases, alias_rejects)
 
 
-def _is_bare() -> Column:
+def is_bare() -> Column:
+    """Whether a product of the pair has no id, so that its key names only a store."""
     return F.coalesce(lacks_ids("uuid_a") | lacks_ids("uuid_b"), F.lit(False))
 
 
-def _labelled(library: DataFrame, reviews: Sequence[DataFrame], feeds: Mapping[str, DataFrame],
-              prefer: str | Column, strict: bool, domains: Sequence[str] | None,
-              drop_half_null: bool, dropped_workflows: Sequence[str]) -> DataFrame:
+def labelled_pairs(library: DataFrame, reviews: Sequence[DataFrame],
+                   feeds: Mapping[str, DataFrame],
+                   *, prefer: str | Column = "upc", strict: bool = False,
+                   domains: Sequence[str] | None = None, drop_half_null: bool = False,
+                   dropped_workflows: Sequence[str] = DROPPED_WORKFLOWS) -> DataFrame:
+    """All labelled pairs of the sources, matches and rejects, one scan of each source."""
     parts = [library_pairs(library, prefer, strict),
              review_pairs(reviews, prefer, dropped_workflows)]
     parts += [feed_pairs(pairs, feed, prefer, domains, drop_half_null)
@@ -76,10 +80,20 @@ def warehouse_from_sources(library: DataFrame, reviews: Sequence[DataFrame],
     `review_pairs`. `drop_bare` leaves out pairs with a product that has no id: they share a few
     keys that name a store; `bare_pairs` shows them.
     """
-    labelled = _labelled(library, reviews, feeds, prefer, strict, domains, drop_half_null,
-                         dropped_workflows)
+    labelled = labelled_pairs(library, reviews, feeds, prefer=prefer, strict=strict,
+                              domains=domains, drop_half_null=drop_half_null,
+                              dropped_workflows=dropped_workflows)
     if drop_bare:
-        labelled = labelled.where(~_is_bare())
+        labelled = labelled.where(~is_bare())
+    return warehouse_from_labelled(labelled, day, prune=prune, undirected=undirected,
+                                   aliases=aliases, alias_rejects=alias_rejects)
+
+
+def warehouse_from_labelled(labelled: DataFrame, day: datetime.date | str, *,
+                            prune: bool = False, undirected: bool = False,
+                            aliases: Mapping[str, str] = ALIASES,
+                            alias_rejects: bool = False) -> DataFrame:
+    """Warehouse rows from `labelled_pairs`, or those of them that are wanted."""
     # The stores here are parts of the uuids, also after aliases that lie within such a part.
     whole = any(_SEPARATOR in text for pair in aliases.items() for text in pair)
     return _finish(labelled, day, prune, undirected, aliases, alias_rejects,
@@ -91,5 +105,6 @@ def bare_pairs(library: DataFrame, reviews: Sequence[DataFrame], feeds: Mapping[
                domains: Sequence[str] | None = None, drop_half_null: bool = False,
                dropped_workflows: Sequence[str] = DROPPED_WORKFLOWS) -> DataFrame:
     """The labelled pairs that `drop_bare` leaves out, for quarantine."""
-    return _labelled(library, reviews, feeds, prefer, strict, domains, drop_half_null,
-                     dropped_workflows).where(_is_bare())
+    return labelled_pairs(library, reviews, feeds, prefer=prefer, strict=strict, domains=domains,
+                          drop_half_null=drop_half_null,
+                          dropped_workflows=dropped_workflows).where(is_bare())

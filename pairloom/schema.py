@@ -35,6 +35,9 @@ LOAD_DATE = ("year", "month", "day")
 
 WAREHOUSE = StructType(PAIR.fields + _strings(*LOAD_DATE))
 
+#: Labelled pairs that are kept by load date.
+DATED_LABELLED = StructType(LABELLED.fields + _strings(*LOAD_DATE))
+
 #: Raw id and store columns of library and review rows.
 ID_COLUMNS = ("base_upc", "base_sku", "comp_upc", "comp_sku",
               "base_source_store", "comp_source_store")

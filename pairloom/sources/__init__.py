@@ -1,6 +1,16 @@
 """Scans, newest-partition lookups, and sinks."""
 
 from .latest import latest_partition, latest_values, next_run_number, table_partitions
+from .publish import (
+    Limit,
+    LimitBreached,
+    check_limits,
+    count_metrics,
+    drop_old_versions,
+    observed_metrics,
+    pair_metrics,
+    publish_day,
+)
 from .scans import (
     count_rows,
     observed_rows,
@@ -9,11 +19,21 @@ from .scans import (
     scan_json_dir,
     scan_partitioned,
     scan_table,
+    stage_json,
+)
+from .sinks import (
+    order_for_lookup,
+    read_warehouse,
+    rebalance,
+    replace_day,
+    write_split,
+    write_warehouse,
 )
-from .sinks import read_warehouse, rebalance, write_split, write_warehouse
 
 __all__ = [
-    "count_rows", "latest_partition", "latest_values", "next_run_number", "observed_rows",
-    "pack_small_files", "read_warehouse", "rebalance", "scan_domains", "scan_json_dir",
-    "scan_partitioned", "scan_table", "table_partitions", "write_split", "write_warehouse",
+    "Limit", "LimitBreached", "check_limits", "count_metrics", "count_rows", "drop_old_versions",
+    "latest_partition", "latest_values", "next_run_number", "observed_metrics", "observed_rows",
+    "order_for_lookup", "pack_small_files", "pair_metrics", "publish_day", "read_warehouse",
+    "rebalance", "replace_day", "scan_domains", "scan_json_dir", "scan_partitioned", "scan_table",
+    "stage_json", "table_partitions", "write_split", "write_warehouse",
 ]

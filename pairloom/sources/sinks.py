@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from ..schema import LOAD_DATE, WAREHOUSE
+from ..operators.projections import load_date_parts, stamp_load_date
+from ..schema import JOIN_KEYS, LOAD_DATE, WAREHOUSE
 from ..scratch import remove, scratch_dir
 
 #: Reader and writer options by format, which a table keeps as its own. CSV must tell null from
@@ -30,6 +32,34 @@ def rebalance(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
+def order_for_lookup(df: DataFrame, columns: Sequence[str] = JOIN_KEYS[:1],
+                     within: Sequence[str] = LOAD_DATE) -> DataFrame:
+    """Rows in ranges of the columns, within a date, ahead of a write.
+
+    A file then holds a narrow range, and so does each of its row groups, so that a lookup by key
+    skips nearly all of them by their least and greatest values. Rows of equal keys may be cut into
+    several ranges, by a hash of the row. The frame is stored in scratch first, as ranges are found
+    by a sample, for which it would be computed once more.
+    """
+    spark, stage = df.sparkSession, scratch_dir(df.sparkSession, "lookup")
+    df.write.parquet(stage)
+    df = spark.read.schema(df.schema).parquet(stage)
+    row = F.xxhash64(*df.columns)
+    return df.repartitionByRange(*within, *columns, row).sortWithinPartitions(*within, *columns)
+
+
+def replace_day(df: DataFrame, folder: str, day: datetime.date | str, count: int) -> None:
+    """Write the frame's `count` rows as one load date of a folder; other dates stay.
+
+    No rows leave no partition of that date, also where an earlier run of the day wrote one.
+    """
+    if count:
+        write_warehouse(stamp_load_date(df, day), folder)
+        return
+    names = [f"{k}={v}" for k, v in load_date_parts(day).items()]
+    remove(df.sparkSession, "/".join([folder.rstrip("/"), *names]))
+
+
 def write_warehouse(df: DataFrame, target: str, fmt: str = "parquet",
                     mode: str = "overwrite_partitions", partitions: Sequence[str] = LOAD_DATE,
                     spread: bool = False, path: str | None = None) -> None:

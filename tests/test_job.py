@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from pairloom import plans
 from pairloom.scratch import remove, scratch_dir
-from pairloom.settings import settings_for
-from pairloom.sources import read_warehouse
+from pairloom.settings import planned_bytes, settings_for, sized_for
+from pairloom.sources import Limit, LimitBreached, read_warehouse
 
 
 @pytest.fixture
@@ -77,7 +77,7 @@ def test_job_options_and_quarantine(spark, tables, warehouse_inputs):
     got = read_warehouse(spark, target)
     assert got.count() == want.count() and got.exceptAll(want).isEmpty()
     left = plans.bare_pairs(*inputs, **options)
-    held = spark.read.parquet(bare)
+    held = spark.read.parquet(bare).select(*left.columns)
     assert held.count() == left.count() > 0 and held.exceptAll(left).isEmpty()
 
 
@@ -91,3 +91,99 @@ def test_job_writes_what_the_flow_builds(spark, tables, warehouse_inputs, domain
     assert count == got.count() == want.count()
     assert got.select(*want.columns).exceptAll(want).isEmpty()
     spark.sql(f"DROP TABLE {target}")
+
+
+def test_quarantine_keeps_each_day_and_scans_sources_once(spark, tables, warehouse_inputs,
+                                                          monkeypatch):
+    plans_seen = []
+    apart = plans.job.split_bare
+
+    def spy(labelled):
+        plans_seen.append(labelled._jdf.queryExecution().executedPlan().toString())
+        out = apart(labelled)
+        plans_seen.append(out[0]._jdf.queryExecution().executedPlan().toString())
+        return out
+    monkeypatch.setattr(plans.job, "split_bare", spy)
+    target, bare = "warehouse_two_days", scratch_dir(spark, "bare")
+    for day in ("2024-01-05", "2024-01-06", "2024-01-06"):
+        plans.load_warehouse(spark, "grocery", day, target=target, quarantine=bare, **tables)
+    left = plans.bare_pairs(*warehouse_inputs.values())
+    held = spark.read.option("basePath", bare).parquet(bare)
+    assert {(r.year, r.month, r.day): r["count"] for r in held.groupBy(
+        "year", "month", "day").count().collect()} == {
+            (2024, 1, d): left.count() for d in (5, 6)}
+    one = held.where("day = 6").select(*left.columns)
+    assert one.exceptAll(left).isEmpty()
+    want = plans.warehouse_from_sources(*warehouse_inputs.values(), "2024-01-06", drop_bare=True)
+    got = spark.table(target).where("day = '06'").select(*want.columns)
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+    assert spark.table(target).count() == 2 * want.count()
+    # Eight sources in the one pass, and only its stored rows afterwards.
+    assert plans_seen[0].count("FileScan") == 8 and plans_seen[1].count("FileScan") == 1
+    spark.sql(f"DROP TABLE {target}")
+
+
+def test_quarantine_of_a_day_without_bare_pairs_is_emptied(spark, tables, monkeypatch):
+    target, bare = scratch_dir(spark, "w"), scratch_dir(spark, "bare")
+    for day in ("2024-01-05", "2024-01-06"):
+        plans.load_warehouse(spark, "pets", day, target=target, quarantine=bare, **tables)
+    monkeypatch.setattr(plans.job, "is_bare", lambda: F.lit(False))
+    plans.load_warehouse(spark, "pets", "2024-01-06", target=target, quarantine=bare, **tables)
+    assert [r.day for r in spark.read.parquet(bare).select("day").distinct().collect()] == [5]
+
+
+def test_bad_json_lines_go_aside(spark, tables, warehouse_inputs):
+    folder, lines = tables["review_folders"][0], scratch_dir(spark, "lines")
+    bad = ['{"base_upc": "1", ', "no json"]
+    spark.createDataFrame([(b,) for b in bad], "line string").coalesce(1).write.mode(
+        "append").text(f"{folder}/more")
+    target = scratch_dir(spark, "with_bad")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        plans.load_warehouse(spark, "grocery", "2024-01-05", target=target, **tables)
+    with pytest.raises(LimitBreached, match="bad_lines 2 is above 1"):
+        plans.load_warehouse(spark, "grocery", "2024-01-05", target=target, bad_lines=lines,
+                             bad_line_limit=Limit("bad_lines", most=1), **tables)
+    for day in ("2024-01-05", "2024-01-06"):
+        plans.load_warehouse(spark, "grocery", day, target=target, bad_lines=lines,
+                             bad_line_limit=Limit("bad_lines", most=2), **tables)
+    assert sorted(map(tuple, spark.read.parquet(lines).collect())) == sorted(
+        (b, 2024, 1, d) for b in bad for d in (5, 6))
+    want = plans.warehouse_from_sources(*warehouse_inputs.values(), "2024-01-06")
+    got = read_warehouse(spark, target).where("day = '06'")
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+
+
+@pytest.mark.parametrize("target", ["warehouse_limited", "folder"])
+def test_broken_limit_publishes_nothing(spark, tables, target):
+    if target == "folder":
+        target = scratch_dir(spark, "limited")
+    read = spark.table if "/" not in target else lambda t: read_warehouse(spark, t)
+    count = plans.load_warehouse(spark, "pets", "2024-01-05", target=target,
+                                 limits=[Limit("row_count", least=1)], **tables)
+    with pytest.raises(LimitBreached, match="row_count .* is below"):
+        plans.load_warehouse(spark, "grocery", "2024-01-05", target=target,
+                             limits=[Limit("row_count", least=10 * count)], **tables)
+    assert read(target).count() == count
+    want = read(target).collect()
+    assert sorted(map(str, want)) == sorted(map(str, read(target).collect()))
+    if "/" not in target:
+        spark.sql(f"DROP TABLE {target}")
+
+
+def test_sources_of_unknown_size(spark, tables, warehouse_inputs):
+    """Views on rows of the driver have no size; the job then runs as the session is set."""
+    rows = warehouse_inputs["reviews"][0]
+    spark.createDataFrame(rows.collect(), rows.schema).createOrReplaceTempView("rows_of_driver")
+    assert planned_bytes(spark.table("rows_of_driver")) is None
+    assert planned_bytes(rows, spark.table("rows_of_driver")) is None
+    assert planned_bytes(spark.range(10)) == 80
+    assert planned_bytes(spark.table(tables["library"])) > 0
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    with sized_for(spark, None):
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    target = scratch_dir(spark, "unsized")
+    count = plans.load_warehouse(spark, "pets", "2024-01-05", target=target,
+                                 **{**tables, "review_tables": ["rows_of_driver",
+                                                                *tables["review_tables"][1:]]})
+    assert count == read_warehouse(spark, target).count() > 0
+    spark.catalog.dropTempView("rows_of_driver")

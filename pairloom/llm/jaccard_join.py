@@ -3,9 +3,11 @@
 A text's tokens are its distinct word n-grams, held as 64-bit hashes. Texts of one token set are a
 class. If two sets reach the similarity, then under any order of all tokens their prefixes
 share a token. The first order puts tokens found often last; its prefixes are the index. A pair
-from the index must have sizes that allow the similarity, and a first common token early enough in
-both sets. Then it must also share a token in the prefixes under the other orders (hashes with
-other seeds), and what is left is verified on whole sets.
+from the index must have sizes that allow the similarity, a first common token early enough in both
+sets, and parity bits that allow it: each token turns one of a set's bits, so that sets differ in
+at least as many tokens as bits. Then it must also share a token in the prefixes under the other
+orders (hashes with other seeds), of which 32 bits to a token are joined to the pairs. Only pairs
+that pass all these filters get their whole sets, on which they are verified.
 
 Components come in two rounds, so that a large group of near copies does not become all its pairs:
 where more than `LARGE` classes share an index token, they are first compared with the least one of
@@ -39,6 +41,7 @@ FREQUENT = 1 << 19           # tokens, at most, that are known to be frequent
 _LOCAL = 3                   # texts of one stretch that hold a token before it is reported
 _STRETCH = 1 << 22
 _SMALL = 1_000_000           # rows that may be broadcast: 24 bytes each
+_BITS = [f"bits_{i}" for i in range(4)]
 _SEEDS = [np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)]
 
 
@@ -84,6 +87,20 @@ class TokenSets:
             pa.binary(16), len(out), [None, pa.py_buffer(out.tobytes())]).cast(pa.binary())
         return pc.if_else(pa.array(used), raw, pa.scalar(None, pa.binary()))
 
+    def parities(self) -> list[np.ndarray]:
+        """Of each set, 64 bits to a lane; each of its tokens turns one bit."""
+        where = mix(self.tokens ^ (_SEEDS[1] >> np.uint64(9)))
+        bit = np.uint64(1) << (where & np.uint64(63))
+        lane = (where >> np.uint64(6)) % np.uint64(len(_BITS))
+        used, out = self.sizes > 0, []
+        for i in range(len(_BITS)):
+            turned = np.zeros(len(self.sizes), np.uint64)
+            if used.any():
+                turned[used] = np.bitwise_xor.reduceat(
+                    np.where(lane == i, bit, np.uint64(0)), self.begin[used])
+            out.append(turned.view(np.int64))
+        return out
+
     def ordered(self, keys: np.ndarray) -> np.ndarray:
         """Places of tokens by key within each set; equal keys by hash."""
         return np.lexsort((self.tokens, keys, self.rows))
@@ -166,11 +183,6 @@ def _prefix(tokens: np.ndarray, order: int, percent: int) -> np.ndarray:
 
 
 def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Filters by the further orders, then the whole sets."""
-    for order in range(1, ORDERS):
-        if not np.isin(_prefix(a, order, percent), _prefix(b, order, percent),
-                       assume_unique=True).any():
-            return False
     common = int(np.isin(a, b, assume_unique=True).sum())
     return (100 + percent) * common >= percent * (len(a) + len(b))
 
@@ -211,25 +223,31 @@ class _Join:
                     prefix, length = sets.prefixes(_index_keys(sets.tokens, frequent), percent)
                     yield pa.RecordBatch.from_arrays(
                         [part.column("_id"), part.column("_key"), sets.classes(),
-                         pa.array(sets.sizes.astype(np.int64)), _lists(prefix, length)],
-                        names=["id", "key", "class", "size", "prefix"])
+                         pa.array(sets.sizes.astype(np.int64)), _lists(prefix, length),
+                         *map(pa.array, sets.parities())],
+                        names=["id", "key", "class", "size", "prefix", *_BITS])
 
         kind = dict(self.docs.dtypes)[self.id_col]
         return self.docs.select(
             F.col(self.id_col).alias("_id"), text_key(F.col(text_col)).alias("_key"),
             text_col).mapInArrow(run, f"id {kind}, key binary, class binary, size bigint, "
-                                      "prefix array<bigint>")
+                                      "prefix array<bigint>, "
+                                 + ", ".join(f"{b} bigint" for b in _BITS))
 
     def may_link(self, a: str, b: str) -> Column:
-        """Sizes allow the similarity, and so does what follows the common token.
+        """Sizes allow the similarity, and so do what follows the common token, and the bits.
 
-        a, b: columns that hold a size above 32 bits of the token's place.
+        a, b: prefixes of columns `at`, a size above 32 bits of the token's place, and of bits.
         """
-        size_a, size_b = (F.shiftright(c, 32) for c in (a, b))
-        places = [F.col(c).bitwiseAND((1 << 32) - 1) for c in (a, b)]
+        size_a, size_b = (F.shiftright(f"{c}at", 32) for c in (a, b))
+        places = [F.col(f"{c}at").bitwiseAND((1 << 32) - 1) for c in (a, b)]
         after = F.least(size_a - places[0], size_b - places[1])
+        differ = reduce(Column.__add__, [
+            F.bit_count(F.col(f"{a}{x}").bitwiseXOR(F.col(f"{b}{x}"))) for x in _BITS])
+        both = size_a + size_b
         return ((100 * F.least(size_a, size_b) >= self.percent * F.greatest(size_a, size_b))
-                & ((100 + self.percent) * after >= self.percent * (size_a + size_b)))
+                & ((100 + self.percent) * after >= self.percent * both)
+                & ((100 + self.percent) * (both - differ) >= 2 * self.percent * both))
 
     def sets_of(self, classes: DataFrame, name: str) -> DataFrame:
         """no and tokens of the given classes (class, no), from the texts."""
@@ -260,6 +278,7 @@ class _Join:
         either = pairs.select(F.col("a").alias("no")).union(pairs.select("b")).distinct()
         sets = self.sets_of(self.store(classes.select("class", "no").join(
             either, "no", "left_semi"), f"classes_{name}"), name)
+        pairs = self.store(self.share_prefixes(sets, pairs), f"shared_prefixes_{name}")
         left = sets.select(F.col("no").alias("a"), F.col("tokens").alias("tokens_a"))
         right = sets.select(F.col("no").alias("b"), F.col("tokens").alias("tokens_b"))
         joined = pairs.join(left, "a").join(right, "b").select("a", "b", "tokens_a", "tokens_b")
@@ -273,9 +292,31 @@ class _Join:
                 yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
         found = self.store(joined.mapInArrow(run, "a bigint, b bigint"), f"links_{name}")
-        self.drop(f"sets_{name}")
+        for part in ("sets", "pairs", "classes", "shared_prefixes"):
+            self.drop(f"{part}_{name}")
         return found
 
+    def share_prefixes(self, sets: DataFrame, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that share a token in the prefixes under each further order."""
+        percent, names = self.percent, [f"order_{i}" for i in range(1, ORDERS)]
+
+        def run(batches):
+            for batch in batches:
+                tokens = [t.values.to_numpy().view(np.uint64) for t in batch.column("tokens")]
+                columns = [pa.array([_prefix(t, i, percent).astype(np.uint32).view(np.int32)
+                                     for t in tokens], pa.list_(pa.int32()))
+                           for i in range(1, ORDERS)]
+                yield pa.RecordBatch.from_arrays([batch.column("no"), *columns],
+                                                 names=["no", *names])
+
+        prefixes = sets.select("no", "tokens").mapInArrow(
+            run, "no bigint, " + ", ".join(f"{n} array<int>" for n in names))
+        left = prefixes.withColumnsRenamed({n: f"a_{n}" for n in names}).withColumnRenamed("no", "a")
+        right = prefixes.withColumnsRenamed({n: f"b_{n}" for n in names}).withColumnRenamed("no", "b")
+        overlap = [F.arrays_overlap(f"a_{n}", f"b_{n}") for n in names]
+        return pairs.join(left, "a").join(right, "b").where(reduce(Column.__and__, overlap)).select(
+            "a", "b")
+
     def components(self, links: DataFrame, name: str) -> DataFrame:
         return connected_components(links, lambda f, part: self.store(f, f"{name}_{part}"))
 
@@ -287,21 +328,23 @@ class _Join:
         sketches = self.store(self.sketches(), "sketches")
         classes = self.store(sketches.where("class is not null").groupBy("class").agg(
             F.min("id").alias("least_id"), F.first("size").alias("size"),
-            F.first("prefix").alias("prefix")).withColumn(
+            F.first("prefix").alias("prefix"), *[F.first(b).alias(b) for b in _BITS]).withColumn(
                 "no", F.monotonically_increasing_id()), "classes")
-        facts = self.store(sketches.drop("prefix"), "facts")
+        facts = self.store(sketches.drop("prefix", *_BITS), "facts")
         self.drop("sketches")
         entries = classes.select("no", "size", F.posexplode("prefix").alias("place", "token")).select(
             "token", "no", F.shiftleft("size", 32).bitwiseOR(F.col("place").cast("bigint")).alias("at"))
         leaders = self.store(entries.groupBy("token").agg(
             F.min("no").alias("leader"), F.count("*").alias("n")).where("n > 1"), "leaders")
-        shared = self.store(entries.join(leaders, "token"), "shared")
+        shared = self.store(entries.join(leaders, "token").join(
+            classes.select("no", *_BITS), "no"), "shared")
+        self.drop("leaders")
         # First round: where many classes share a token, each one with the least.
         large = F.col("n") > LARGE
         lead = shared.where(large & (F.col("no") == F.col("leader"))).select(
-            "token", F.col("at").alias("lead_at"))
+            "token", *[F.col(c).alias(f"lead_{c}") for c in ("at", *_BITS)])
         star = shared.where(large & (F.col("no") != F.col("leader"))).join(lead, "token").where(
-            self.may_link("at", "lead_at"))
+            self.may_link("", "lead_"))
         first = self.links(classes, star.select(F.col("no").alias("a"), F.col("leader").alias("b")),
                            "first")
         if first is None:
@@ -311,17 +354,18 @@ class _Join:
             own = roots.select(F.col("node").alias("no"), F.col("root").alias("own"))
             main = roots.select(F.col("node").alias("leader"), F.col("root").alias("main"))
             placed = self.store(shared.join(own, "no", "left").join(main, "leader", "left").select(
-                "token", "no", "at", "leader", "n", F.coalesce("own", "no").alias("part"),
+                "token", "no", "at", *_BITS, "leader", "n", F.coalesce("own", "no").alias("part"),
                 F.coalesce("main", "leader").alias("main")), "placed")
+            self.drop("shared")
         # Second round: pairs of different components. Where many classes share a token, one of the
         # two is outside of the leader's component.
         outside = placed.where(~large | (F.col("part") != F.col("main"))).select(
-            "token", F.col("no").alias("a"), F.col("at").alias("at_a"),
-            F.col("part").alias("part_a"))
+            "token", F.col("no").alias("a"), F.col("part").alias("part_a"),
+            *[F.col(c).alias(f"a_{c}") for c in ("at", *_BITS)])
         rest = outside.join(placed, "token").where(
             (F.col("part_a") != F.col("part"))
             & ((large & (F.col("part") == F.col("main"))) | (F.col("a") < F.col("no")))
-            & self.may_link("at_a", "at"))
+            & self.may_link("a_", ""))
         second = self.links(classes, rest.select("a", F.col("no").alias("b")), "second")
         links = [found for found in (first, second) if found is not None]
         names = facts.select("id", "key", "class", "size")
@@ -365,8 +409,19 @@ def keep_one(docs: DataFrame, *, n: int = N, percent: int = PERCENT, id_col: str
     least = nameless.where("group is not null").groupBy("group").agg(
         F.first("id").alias("id"), F.min("key").alias("key")).select("id", "key")
     kept = join.store(kept.select("id", "key").union(alone).union(least), "kept")
+    times = found.groupBy("id", "key").count().where("count > 1").drop("count")
+
+    def of(names: DataFrame) -> Column:
+        return rows["id"].eqNullSafe(names["id"]) & rows["key"].eqNullSafe(names["key"])
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"),
                        text_key(F.col(text_col)).alias("key"))
-    rows = rows.groupBy("id", "key").agg(F.first("row").alias("row"))
-    same = rows["id"].eqNullSafe(kept["id"]) & rows["key"].eqNullSafe(kept["key"])
-    return rows.join(kept, same, "left_semi").select("row.*")
+    # Only rows that are equal in id and text have to meet.
+    repeated = join.store(times.join(kept, times["id"].eqNullSafe(kept["id"])
+                                     & times["key"].eqNullSafe(kept["key"]), "left_semi"),
+                          "repeated")
+    single = join.store(kept.join(repeated, kept["id"].eqNullSafe(repeated["id"])
+                                  & kept["key"].eqNullSafe(repeated["key"]), "left_anti"), "single")
+    once = rows.join(single, of(single), "left_semi").select("row.*")
+    more = rows.join(repeated, of(repeated), "left_semi").groupBy("id", "key").agg(
+        F.first("row").alias("row")).select("row.*")
+    return once.unionByName(more)

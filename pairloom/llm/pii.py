@@ -11,7 +11,10 @@ each, and N all terms,
 d = 1 - DISCOUNT / m smooths counts from only m different texts, so that a pair seen once needs a
 rarer term and value than one seen often. A term discloses the share PMI / IC of what identifies c.
 From `REMOVE` on it is removed, from `GENERALISE` on it is replaced by its class: at every place
-outside the base spans, in all texts, whether they hold the value or not.
+outside the base spans, in all texts that hold the value. In a text without the value that takes
+more: n(c, t) / n(t) above `ELSEWHERE`, so that the term mostly stands next to the value. Else a term
+that is met near a value once, and a few times elsewhere, would be taken out of texts that have
+nothing to do with it, the more of them the larger the corpus.
 
 A null text is an empty one, without spans. Copies of a text get the same spans and count as
 support once; repeated rows are kept. An empty table gives an empty result. Other columns are not
@@ -28,6 +31,9 @@ WINDOW = 8
 DISCOUNT = 0.75
 GENERALISE = 0.8
 REMOVE = 0.95
+ELSEWHERE = 0.5
+_SMALL = 1_000_000           # terms that may be broadcast, once counted
+_TEXTS_A_TASK = 256          # texts with spans, whose terms are taken apart span by span
 
 # Kinds in order. The patterns are those of the contract, with possessive runs and a start that is
 # not inside a run that has failed: that changes no match, and keeps long texts linear.
@@ -212,7 +218,9 @@ def disclosing_terms(docs: DataFrame, *, id_col: str = "doc_id",
     texts = found.groupBy(F.md5(F.encode("text", "utf-8")).alias("key")).agg(
         F.count("*").alias("copies"), F.first("text").alias("text"))
     texts = store(texts.withColumn("spans", base_spans(F.col("text"))), "texts")
-    near = texts.select("key", "copies", F.inline(_contexts(F.col("text"), F.col("spans"))))
+    tasks = -(-texts.count() // _TEXTS_A_TASK)
+    near = texts.repartition(max(1, tasks)).select(
+        "key", "copies", F.inline(_contexts(F.col("text"), F.col("spans"))))
     values = texts.select("copies", F.explode("spans").alias("span")).groupBy(
         F.col("span.value").alias("value")).agg(F.sum("copies").alias("n_value"))
     pairs = (near.groupBy("value", "term", "key").agg(
@@ -220,30 +228,50 @@ def disclosing_terms(docs: DataFrame, *, id_col: str = "doc_id",
         .groupBy("value", "term").agg(F.sum(F.col("times") * F.col("copies")).alias("n_pair"),
                                       F.count("*").alias("texts")))
     pairs = store(pairs, "pairs")
-    # Every term of every text; splitting leaves an empty string where a text begins or ends.
-    terms = docs.select(F.explode(F.split(F.lower(text), _NO_TERM)).alias("term"))
+    # Every term of every text; splitting leaves an empty string where a text begins or ends. The
+    # terms that are not asked for count only towards the total.
+    terms = docs.select(F.explode(F.split(F.lower(text), _NO_TERM)).alias("term")).where(
+        "term <> ''")
+    wanted = store(pairs.select("term").distinct(), "wanted")
+    if wanted.count() <= _SMALL:
+        asked = F.broadcast(wanted.withColumn("asked", F.lit(True)))
+        terms = terms.join(asked, "term", "left").select(F.when(F.col("asked"), F.col(
+            "term")).alias("term"))
     counts = store(terms.groupBy("term").agg(F.count("*").alias("n_term")), "terms")
-    total = counts.where("term <> ''").agg(F.sum("n_term").alias("n")).first().n or 0
+    total = counts.agg(F.sum("n_term").alias("n")).first().n or 0
     known = (pairs.join(store(values, "values"), "value").join(counts, "term")
              .withColumn("room", F.lit(float(total)) / (2 * WINDOW)))
     content = F.log2(F.col("room") / F.col("n_value"))
     smooth = 1 - DISCOUNT / F.col("texts")
     pmi = F.log2(F.col("n_pair") * smooth * F.col("room") / (F.col("n_value") * F.col("n_term")))
     share = F.when(content > 0, pmi / content)
-    risky = store(known.withColumn("share", share).where(F.col("share") >= GENERALISE)
-                  .groupBy("term").agg(F.max(F.col("share") >= REMOVE).alias("removed")), "risky")
-    # Texts without spans that name such a term; those with spans are stored.
+    risky = store(known.withColumn("share", share).where(F.col("share") >= GENERALISE).select(
+        "value", "term", (F.col("share") >= REMOVE).alias("removed"),
+        (F.col("n_pair") > ELSEWHERE * F.col("n_term")).alias("elsewhere")), "risky")
+    mostly = store(risky.where("elsewhere").groupBy("term").agg(
+        F.max("removed").alias("removed")), "mostly")
+    if mostly.count() <= _SMALL:
+        mostly = F.broadcast(mostly)
+    # Texts without spans that name a term of those; texts with spans are stored.
     key = _text_key(text, F.col(id_col))
     naming = docs.select(key.alias("key"), F.explode(F.array_distinct(
         F.split(F.lower(text), _NO_TERM))).alias("term"))
-    clean = store(naming.join(risky, "term", "left_semi").select("key").distinct().join(
+    clean = store(naming.join(mostly, "term", "left_semi").select("key").distinct().join(
         texts.select("key"), "key", "left_anti"), "clean")
     clean = docs.select(key.alias("key"), text.alias("text")).join(clean, "key", "left_semi")
     clean = clean.groupBy("key").agg(F.first("text").alias("text")).select(
         "key", "text", F.array().cast(f"array<{_SPAN}>").alias("spans"))
-    every = _outside(texts.select("key", "text", "spans").union(clean))
-    # One row for each term of a text that is taken out.
-    return store(every.join(risky, "term").groupBy("key").agg(F.array_sort(F.collect_list(
+    # One row for each term of a text that is taken out, for any value or for one that it holds.
+    anywhere = _outside(texts.select("key", "text", "spans").union(clean)).join(mostly, "term")
+    holds = texts.select("key", F.explode("spans").alias("span")).select(
+        "key", F.col("span.value").alias("value")).distinct()
+    own = _outside(texts.select("key", "text", "spans").repartition(max(1, tasks))).join(
+        risky.where("not elsewhere").select("value", "term", "removed"), "term").join(
+            holds, ["key", "value"])
+    columns = ["key", "start", "end", "removed"]
+    out = anywhere.select(*columns).union(own.select(*columns)).groupBy("key", "start", "end").agg(
+        F.max("removed").alias("removed"))
+    return store(out.groupBy("key").agg(F.array_sort(F.collect_list(
         F.struct("start", "end", "removed"))).alias("terms")), "disclosing")
 
 

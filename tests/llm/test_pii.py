@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -163,3 +164,89 @@ def test_rare_values_are_decided(spark, tmp_path):
         spark.read.parquet(str(tmp_path / "rare"))).collect()}
     assert spans[0].startswith("term:7:13,email") and spans[1].startswith("term:7:13,email")
     assert spans[2].startswith("term:7:11,email") and spans[100] == ""
+
+
+def test_rare_neighbours_stay_where_the_value_is_not(spark, tmp_path):
+    """A term near a value once, and elsewhere more often, goes only beside that value."""
+    rows = [(i, f"common quux kid@mail.com common {i}") for i in range(2)]
+    rows += [(i, f"common quux of {i} common") for i in range(2, 5)]
+    rows += [(100 + i, f"common {i % 9} " * 900) for i in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    frame.write.parquet(str(tmp_path / "rare"))
+    frame = spark.read.parquet(str(tmp_path / "rare"))
+    spans = {r.doc_id: r.spans for r in pii.find(frame).collect()}
+    assert spans[0] == spans[1] == "term:7:11,email:12:24"
+    assert [spans[i] for i in (2, 3, 4, 100)] == [""] * 4
+
+
+def plain_terms(texts):
+    """Term spans (start, end, removed) of each text, by counting everything."""
+    from collections import Counter
+    from math import log2
+    term = re.compile(r"[^\W_]+")
+    copies = Counter(texts)
+    total, n_term, n_value = 0, Counter(), Counter()
+    n_pair, n_texts, held = Counter(), Counter(), {}
+    for text, times in copies.items():
+        for m in term.finditer(text):
+            n_term[m.group().lower()] += times
+            total += times
+        spans = [s.split(":") for s in base(text).split(",") if s]
+        spans = [(int(a), int(b), f"{k}:{text[int(a):int(b)].lower()}") for k, a, b in spans]
+        held[text] = spans
+        seen = Counter()
+        for i, (a, b, value) in enumerate(spans):
+            n_value[value] += times
+            since = spans[i - 1][1] if i else 0
+            until = spans[i + 1][0] if i + 1 < len(spans) else len(text)
+            near = term.findall(text[since:a])[-pii.WINDOW:] + term.findall(
+                text[b:until])[:pii.WINDOW]
+            seen.update((value, t.lower()) for t in near)
+        for pair, n in seen.items():
+            n_pair[pair] += n * times
+            n_texts[pair] += 1
+    room, risky = total / (2 * pii.WINDOW), {}
+    for (value, t), n in n_pair.items():
+        content = log2(room / n_value[value])
+        pmi = log2(n * (1 - pii.DISCOUNT / n_texts[value, t]) * room
+                   / (n_value[value] * n_term[t]))
+        if content > 0 and pmi / content >= pii.GENERALISE:
+            risky[value, t] = (pmi / content >= pii.REMOVE, n > pii.ELSEWHERE * n_term[t])
+    out = []
+    for text in texts:
+        values, found = {v for *_, v in held[text]}, set()
+        for m in term.finditer(text):
+            if any(a <= m.start() < b for a, b, _ in held[text]):
+                continue
+            kinds = [removed for (v, t), (removed, elsewhere) in risky.items()
+                     if t == m.group().lower() and (elsewhere or v in values)]
+            if kinds:
+                found.add((m.start(), m.end()))
+        out.append(found)
+    return out, risky
+
+
+def test_terms_against_plain_counts(spark, tmp_path):
+    rng = random.Random(11)
+    words = ["alpha", "beta", "Gamma", "delta", "eps", "zeta"]
+    values = ["kid@mail.com", "Other@host.example.org", "10.0.0.1", "ann@mail.com"]
+    friends = {v: [f"only{i}", f"mostly{i}"] for i, v in enumerate(values)}
+    texts = []
+    for i in range(160):
+        line = rng.choices(words, k=rng.randrange(4, 30)) + [f"u{i}"]
+        for _ in range(rng.choice([0, 0, 1, 1, 2])):
+            value = rng.choice(values)
+            at = rng.randrange(len(line))
+            line[at:at] = [rng.choice(friends[value]), value]
+        if rng.random() < 0.5:
+            line.append(rng.choice(["only0", "mostly1", "mostly2"]))
+        texts.append(" ".join(line))
+    texts += texts[:10] + [" ".join(rng.choices(words, k=10_000)) for _ in range(30)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    frame.write.parquet(str(tmp_path / "plain"))
+    want, risky = plain_terms(texts)
+    assert {e for _, e in risky.values()} == {True, False} and any(want)
+    for row in pii.find(spark.read.parquet(str(tmp_path / "plain"))).collect():
+        found = {tuple(map(int, s.split(":")[1:])) for s in row.spans.split(",")
+                 if s.startswith("term:")}
+        assert found == want[row.doc_id], texts[row.doc_id]

@@ -10,8 +10,8 @@ orders (hashes with other seeds), of which 32 bits to a token are joined to the
 that pass all these filters get their whole sets, on which they are verified.
 
 Components come in two rounds, so that a large group of near copies does not become all its pairs:
-where more than `LARGE` classes share an index token, they are first compared with the least one of
-them, and then only if they are in different components. Pairs within a component that is already
+where more than `LARGE` classes share an index token, they are first compared with the `LEADERS`
+least ones of them, and then only if they are in different components. Pairs within a component that is already
 known need no proof, and no other pair is left out.
 
 Null and wordless texts have no tokens and are linked with nothing. Texts of fewer than n words are
@@ -26,7 +26,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pairloom.scratch import remove, scratch_dir
 
@@ -37,6 +37,7 @@ N = 4
 PERCENT = 85
 ORDERS = 3                   # the index's and two more
 LARGE = 32
+LEADERS = 8
 FREQUENT = 1 << 19           # tokens, at most, that are known to be frequent
 _LOCAL = 3                   # texts of one stretch that hold a token before it is reported
 _STRETCH = 1 << 22
@@ -339,26 +340,30 @@ class _Join:
         shared = self.store(entries.join(leaders, "token").join(
             classes.select("no", *_BITS), "no"), "shared")
         self.drop("leaders")
-        # First round: where many classes share a token, each one with the least.
+        # First round: where many classes share a token, each one with a few of them.
         large = F.col("n") > LARGE
-        lead = shared.where(large & (F.col("no") == F.col("leader"))).select(
-            "token", *[F.col(c).alias(f"lead_{c}") for c in ("at", *_BITS)])
-        star = shared.where(large & (F.col("no") != F.col("leader"))).join(lead, "token").where(
-            self.may_link("", "lead_"))
-        first = self.links(classes, star.select(F.col("no").alias("a"), F.col("leader").alias("b")),
-                           "first")
+        place = F.row_number().over(Window.partitionBy("token").orderBy("no"))
+        lead = shared.where(large).withColumn("place", place).where(F.col("place") <= LEADERS).select(
+            "token", *[F.col(c).alias(f"lead_{c}") for c in ("no", "at", *_BITS)])
+        star = shared.where(large).join(lead, "token").where(
+            (F.col("no") != F.col("lead_no")) & self.may_link("", "lead_"))
+        first = self.links(classes, star.select(F.col("no").alias("a"),
+                                                F.col("lead_no").alias("b")), "first")
         if first is None:
             placed = shared.withColumns({"part": F.col("no"), "main": F.col("leader")})
         else:
             roots = self.components(first, "first")
             own = roots.select(F.col("node").alias("no"), F.col("root").alias("own"))
-            main = roots.select(F.col("node").alias("leader"), F.col("root").alias("main"))
-            placed = self.store(shared.join(own, "no", "left").join(main, "leader", "left").select(
-                "token", "no", "at", *_BITS, "leader", "n", F.coalesce("own", "no").alias("part"),
-                F.coalesce("main", "leader").alias("main")), "placed")
+            parts = self.store(shared.join(own, "no", "left").withColumn(
+                "part", F.coalesce("own", "no")).drop("own", "leader"), "parts")
             self.drop("shared")
+            # A token's main component is the one that holds most of its classes.
+            main = self.store(parts.groupBy("token", "part").count().groupBy("token").agg(
+                F.max_by("part", F.struct("count", "part")).alias("main")), "main")
+            placed = self.store(parts.join(main, "token"), "placed")
+            self.drop("parts")
         # Second round: pairs of different components. Where many classes share a token, one of the
-        # two is outside of the leader's component.
+        # two is outside of its main component.
         outside = placed.where(~large | (F.col("part") != F.col("main"))).select(
             "token", F.col("no").alias("a"), F.col("part").alias("part_a"),
             *[F.col(c).alias(f"a_{c}") for c in ("at", *_BITS)])

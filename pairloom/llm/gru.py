@@ -16,8 +16,15 @@ import numpy as np
 HIDDEN = 16
 SIZE = 1024              # ids of a small network; `initial` takes any number
 START = -1               # the last input row
-LANES = 256
+LANES = 256             # of scoring
 WINDOW = 16
+WIDE = 2048              # lanes of training
+NARROW = 64              # of them, run in the first windows
+WIDEN = 1 << 10          # tokens learnt from for each lane that later ones have
+STRETCH = 1 << 10        # tokens of a lane that are laid out at once
+BLOCK = 1 << 17          # logits computed at once
+LEAST = 1 << 12          # tokens of a window that is learnt from at the full rate
+READY = 32               # targets of a class between updates of its rows
 
 PARTS = ("input", "state", "class_w", "class_b", "word_w", "word_b")
 #: One step size to a row, by the squares of all its gradients; the others are learnt by Adam.
@@ -84,47 +91,55 @@ def _step(p: Params, tokens: np.ndarray, h: np.ndarray):
     return h + update * (new - h), (gates, kept, new)
 
 
-def _logits(states, weights, bias):
-    """One row to a class, so that sums over classes run along whole rows."""
-    out = weights.T @ states.T
-    out += bias[:, None]
-    return np.clip(out, -60, 60, out=out)
+def _exps(states, weights, bias, chosen):
+    """exp(logits), a row to a class so that sums run along whole rows; sums; logits chosen."""
+    logits = weights @ states.T
+    logits += bias[:, None]
+    found = logits[chosen, np.arange(len(states))]
+    with np.errstate(over="ignore"):
+        exps = np.exp(logits, out=logits)
+    sums = exps.sum(0)
+    if not (np.isfinite(sums).all() and sums.min() > 0):
+        logits = weights @ states.T + bias[:, None]
+        top = logits.max(0)
+        exps, found = np.exp(logits - top), found - top
+        sums = exps.sum(0)
+    return exps, sums, found
 
 
-def _softmax(x):
-    np.exp(x, out=x)
-    x /= x.sum(0)
-    return x
-
-
-def _log_chosen(x, chosen):
-    """Log-probability of the chosen row in each column."""
-    found = x[chosen, np.arange(x.shape[1])]
-    return found - np.log(np.exp(x, out=x).sum(0))
+def _blocks(begin: int, end: int, classes: int):
+    """Slices of few enough tokens for their logits to stay in cache."""
+    step = max(16, BLOCK // classes)
+    return [slice(i, min(i + step, end)) for i in range(begin, end, step)]
 
 
 def _by_class(p: Params, targets: np.ndarray):
-    """The class of each target, and (class, first id, last, places of its targets) of those met."""
+    """The class of each target, targets' places by class, and (class, first id, last, begin, end
+    among those places) of the classes met."""
     bounds = p["bounds"].astype(np.int64)
     group = np.searchsorted(bounds, targets, side="right") - 1
     order = np.argsort(group.astype(np.int16), kind="stable")
     ends = np.searchsorted(group[order], np.arange(len(bounds)))
-    return group, [(bounds[c], bounds[c + 1], order[ends[c]:ends[c + 1]])
-                   for c in np.flatnonzero(np.diff(ends))]
+    met = np.flatnonzero(np.diff(ends))
+    return group, order, list(zip(bounds[met].tolist(), bounds[met + 1].tolist(),
+                                  ends[met].tolist(), ends[met + 1].tolist()))
 
 
 def log_probability(p: Params, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural logarithm of the probability of each target, given the state before it."""
-    group, met = _by_class(p, targets)
-    out = np.concatenate([np.empty(0, states.dtype)] + [
-        _log_chosen(_logits(states[i:i + 4096], p["class_w"], p["class_b"]), group[i:i + 4096])
-        for i in range(0, len(targets), 4096)])
-    for first, last, at in met:
-        for i in range(0, len(at), 4096):
-            part = at[i:i + 4096]
-            out[part] += _log_chosen(
-                _logits(states[part], p["word_w"][first:last].T, p["word_b"][first:last]),
-                targets[part] - first)
+    group, order, met = _by_class(p, targets)
+    out, of_word = np.empty((2, len(targets)), states.dtype)
+    weights = np.ascontiguousarray(p["class_w"].T)
+    for part in _blocks(0, len(targets), len(weights)):
+        _, sums, found = _exps(states[part], weights, p["class_b"], group[part])
+        out[part] = found - np.log(sums)
+    states, targets = states[order], targets[order]
+    for first, last, begin, end in met:
+        for part in _blocks(begin, end, last - first):
+            _, sums, found = _exps(states[part], p["word_w"][first:last],
+                                   p["word_b"][first:last], targets[part] - first)
+            of_word[part] = found - np.log(sums)
+    out[order] += of_word
     return out
 
 
@@ -172,10 +187,28 @@ def score(p: Params, tokens: np.ndarray, counts: np.ndarray, lanes: int = LANES)
     return out
 
 
+def _back(states, weights, bias, chosen):
+    """Errors and states, whose product is the gradient of weights and bias (last column), and
+    the gradient of the states. Errors are not divided by their sums; the states are."""
+    exps, sums, _ = _exps(states, weights, bias, chosen)
+    exps[chosen, np.arange(len(states))] -= sums
+    own = np.empty((len(states), HIDDEN + 1), states.dtype)
+    np.divide(states, sums[:, None], out=own[:, :-1])
+    own[:, -1] = 1 / sums
+    return exps, own, (weights.T @ exps / sums).T
+
+
 class Trainer:
-    """Truncated backpropagation over a stream of texts, with Adam and, for rows, Adagrad."""
+    """Truncated backpropagation over a stream of texts, with Adam and, for rows, Adagrad.
 
-    def __init__(self, p: Params, rate: float = 0.01, row_rate: float = 0.05):
+    Every text runs in one lane, whose state goes on from window to window and from one stretch of
+    the stream to the next. Windows are narrow at first, and wider the more has been learnt. A
+    class's rows are updated once `ready` targets of it have been met, so that the many rows of a
+    rare class cost no more than its few targets do.
+    """
+
+    def __init__(self, p: Params, rate: float = 0.01, row_rate: float = 0.05,
+                 ready: int = READY):
         self.p = {n: v.copy() for n, v in p.items()}
         self.rate, self.row_rate, self.updates, self.tokens = rate, row_rate, 0, 0
         dense = [n for n in PARTS if n not in ROWS]
@@ -185,33 +218,63 @@ class Trainer:
         # Gradients; of ROWS only those of `met` hold.
         self.grads = {n: np.zeros_like(p[n]) for n in ROWS}
         self.met: dict[str, list] = {n: [] for n in ROWS}
-        self.held = (np.empty(0, np.int64), np.empty(0, bool))
+        # Errors and states of the targets of each class that its rows have not been updated by.
+        self.ready = ready
+        self.errors: dict[int, list] = {}
+        # What waits in each lane: arrays of tokens before, and tokens.
+        self.held: list[list] = [[] for _ in range(WIDE)]
+        self.waiting = np.zeros(WIDE, np.int64)
+        self.states = np.zeros((WIDE, HIDDEN), np.float32)
+        self.lane, self.before = 0, START
 
     def feed(self, tokens: np.ndarray, starts: np.ndarray, last: bool = False) -> None:
         """Learn from a stretch of the stream; what does not fill the lanes waits for the next."""
-        tokens = np.concatenate([self.held[0], tokens])
-        starts = np.concatenate([self.held[1], starts])
-        lanes = min(LANES, len(tokens) // WINDOW)
+        if len(tokens):
+            pairs = np.empty((2, len(tokens)), np.int32)
+            pairs[0, 0], pairs[0, 1:], pairs[1] = self.before, tokens[:-1], tokens
+            pairs[0, starts] = START
+            self.before = tokens[-1]
+            cuts = np.unique(np.concatenate([[0], np.flatnonzero(starts), [len(tokens)]])).tolist()
+            free = [(n, lane) for lane, n in enumerate(self.waiting.tolist())]
+            heapq.heapify(free)
+            for begin, end in zip(cuts, cuts[1:]):
+                if starts[begin]:
+                    self.lane = free[0][1]
+                    heapq.heapreplace(free, (free[0][0] + end - begin, self.lane))
+                self.held[self.lane].append(pairs[:, begin:end])
+                self.waiting[self.lane] += end - begin
+        while True:
+            width = min(max(self.tokens // WIDEN, NARROW), WIDE * 3 // 4)
+            live = np.argsort(-self.waiting, kind="stable")[:width]
+            live = live[self.waiting[live] > 0]
+            if not len(live) or not last and self.waiting[live[-1]] < WINDOW:
+                break
+            self._run(live, self.waiting[live[0 if last else -1]] // WINDOW * WINDOW or WINDOW)
         if last:
-            lanes = max(1, lanes)
-        length = len(tokens) // lanes if lanes else 0
-        if not last:
-            length -= length % WINDOW
-        used = lanes * length
-        self.held = (tokens[used:], starts[used:])
-        if not used:
-            return
-        previous = np.concatenate([[START], tokens[:used - 1]])
-        previous[starts[:used]] = START
-        grid = [x[:used].reshape(lanes, length) for x in (previous, tokens, starts)]
-        h = np.zeros((lanes, HIDDEN), np.float32)
+            self._flush()
+
+    def _run(self, live: np.ndarray, length: int) -> None:
+        """Learn from what waits in some lanes, fullest first."""
+        length = min(length, STRETCH)
+        sizes = np.minimum(self.waiting[live], length)
+        grid = np.full((2, len(live), length), START, np.int32)
+        for row, (lane, size) in enumerate(zip(live, sizes)):
+            joined = np.concatenate(self.held[lane], axis=1)
+            grid[:, row, :size] = joined[:, :size]
+            self.held[lane] = [joined[:, size:]] if size < joined.shape[1] else []
+        self.waiting[live] -= sizes
+        h = self.states[live]
         for t in range(0, length, WINDOW):
-            h = self._window(h, *(x[:, t:t + WINDOW] for x in grid))
-        if last and len(self.held[0]):
-            self.feed(np.empty(0, np.int64), np.empty(0, bool), last=True)
-
-    def _window(self, h, given, targets, starts):
+            n = np.searchsorted(-sizes, -t)            # lanes that go on beyond t
+            given, targets = grid[:, :n, t:t + WINDOW]
+            valid = np.arange(t, t + WINDOW) < sizes[:n, None]
+            h[:n] = self._window(h[:n], given, targets, valid & (given == START), valid)
+        self.states[live] = h
+
+    def _window(self, h, given, targets, starts, valid=None):
+        """The states after a window; what is not valid ends a lane and has no target."""
         p, lanes, length = self.p, *given.shape
+        at = slice(None) if valid is None or valid.all() else np.flatnonzero(valid.T)
         states = np.empty((length, lanes, HIDDEN), np.float32)
         trail = []
         for t in range(length):
@@ -219,8 +282,10 @@ class Trainer:
             h, gates = _step(p, given[:, t], before)
             states[t] = h
             trail.append((before, gates))
-        grads, d_states = self._output(states.reshape(-1, HIDDEN), targets.T.ravel())
-        d_states = d_states.reshape(length, lanes, HIDDEN)
+        targets = targets.T.ravel()[at]
+        grads, d_found = self._output(states.reshape(-1, HIDDEN)[at], targets)
+        d_states = np.zeros_like(states)
+        d_states.reshape(-1, HIDDEN)[at] = d_found
         d_input = np.empty((length, lanes, 3 * HIDDEN), np.float32)
         d_state = np.zeros_like(p["state"])
         to_gates, to_new = p["state"][:, :2 * HIDDEN], p["state"][:, 2 * HIDDEN:]
@@ -244,37 +309,74 @@ class Trainer:
         self.grads["input"][token] = np.add.reduceat(
             d_input.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
         self.met["input"] = [token]
-        self._update({**grads, **self.grads, "state": d_state}, targets.size)
+        self._update({**grads, **self.grads, "state": d_state}, len(targets))
         return h
 
     def _output(self, states, targets):
         """Gradients of the output layer, and of the states."""
         p = self.p
-        group, met = _by_class(p, targets)
-        d_class = _softmax(_logits(states, p["class_w"], p["class_b"]))
-        d_class[group, np.arange(len(targets))] -= 1
-        grads = {"class_w": (d_class @ states).T, "class_b": d_class.sum(1)}
-        d_states = (p["class_w"] @ d_class).T.copy()
-        for first, last, at in met:
-            own, weights = states[at], p["word_w"][first:last]
-            d_word = _softmax(_logits(own, weights.T, p["word_b"][first:last]))
-            d_word[targets[at] - first, np.arange(len(at))] -= 1
-            np.matmul(d_word, own, out=self.grads["word_w"][first:last])
-            d_word.sum(1, out=self.grads["word_b"][first:last])
-            d_states[at] += d_word.T @ weights
-        self.met["word_w"] = self.met["word_b"] = [slice(*m[:2]) for m in met]
+        group, order, met = _by_class(p, targets)
+        weights = np.ascontiguousarray(p["class_w"].T)
+        d_class = np.zeros((len(weights), HIDDEN + 1), states.dtype)
+        d_states = np.empty_like(states)
+        for part in _blocks(0, len(targets), len(weights)):
+            errors, own, d_states[part] = _back(states[part], weights, p["class_b"], group[part])
+            d_class += errors @ own
+        grads = {"class_w": d_class[:, :-1].T, "class_b": d_class[:, -1]}
+        self.met["word_w"] = self.met["word_b"] = rows = []
+        states, targets = states[order], targets[order]
+        d_sorted = np.empty_like(states)
+        for first, last, begin, end in met:
+            found = []
+            for part in _blocks(begin, end, last - first):
+                errors, own, d_sorted[part] = _back(
+                    states[part], p["word_w"][first:last], p["word_b"][first:last],
+                    targets[part] - first)
+                found.append((errors, own))
+            number = end - begin
+            if first in self.errors or number < self.ready:
+                held = self.errors.setdefault(first, [0, last, []])
+                held[0] += number
+                held[2] += found
+                number, _, found = held
+            if number >= self.ready:
+                self.errors.pop(first, None)
+                rows.append(self._row_grads(first, last, found))
+        d_states[order] += d_sorted
         return grads, d_states
 
+    def _row_grads(self, first, last, found) -> slice:
+        """Gradients of the rows of a class."""
+        total = found[0][0] @ found[0][1]
+        for errors, own in found[1:]:
+            total += errors @ own
+        self.grads["word_w"][first:last], self.grads["word_b"][first:last] = (
+            total[:, :-1], total[:, -1])
+        return slice(first, last)
+
+    def _flush(self) -> None:
+        """Update rows by all targets that still wait."""
+        self.met = {"input": []}
+        self.met["word_w"] = self.met["word_b"] = [
+            self._row_grads(first, last, errors)
+            for first, (_, last, errors) in self.errors.items()]
+        self.errors = {}
+        self._update_rows(self.grads)
+
     def _update(self, grads: Params, tokens: int) -> None:
         self.updates += 1
         self.tokens += tokens
+        rate = self.rate * min(1, tokens / LEAST)
         fade1, fade2 = 1 - 0.9 ** self.updates, 1 - 0.99 ** self.updates
         for name in self.first:
             g = grads[name] / tokens
             m, v = self.first[name], self.second[name]
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
-            self.p[name] -= self.rate * (m / fade1) / (np.sqrt(v / fade2) + 1e-6)
+            self.p[name] -= rate * (m / fade1) / (np.sqrt(v / fade2) + 1e-6)
+        self._update_rows(grads)
+
+    def _update_rows(self, grads: Params) -> None:
         for name in ROWS:
             p, squares = self.p[name], self.squares[name]
             for rows in self.met[name]:

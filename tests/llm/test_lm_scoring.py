@@ -164,3 +164,58 @@ def test_gradients_of_any_number_of_ids():
             values.append(loss(p, given, targets, starts))
         p[name][at] = kept
         assert (values[0] - values[1]) / 2e-5 == pytest.approx(held[name][at], rel=1e-3)
+
+
+def stream(rng, sizes, ids=40):
+    tokens = rng.integers(0, ids, sizes.sum())
+    starts = np.zeros(len(tokens), bool)
+    starts[np.cumsum(sizes) - sizes] = True
+    return tokens, starts
+
+
+@pytest.mark.parametrize("cuts", [[], [1, 2, 500], [333, 1200, 1201, 2900]])
+def test_state_goes_on_from_feed_to_feed(monkeypatch, cuts):
+    """Every token meets the state that its whole text has led to, however the stream is cut."""
+    p, *_ = numbers(6)
+    p = {k: v.astype(np.float32) if k != "bounds" else v for k, v in p.items()}
+    tokens, starts = stream(np.random.default_rng(8), np.array([700, 3, 40, 1, 2000, 90, 166]))
+    trainer, seen = gru.Trainer(p), []
+    trainer._update = lambda grads, tokens: setattr(trainer, "tokens", trainer.tokens + tokens)
+    trainer._update_rows = lambda grads: None
+    output = trainer._output
+    monkeypatch.setattr(trainer, "_output", lambda states, targets: (
+        seen.append((states.copy(), targets)), output(states, targets))[1])
+    for tokens_part, starts_part in zip(np.split(tokens, cuts), np.split(starts, cuts)):
+        trainer.feed(tokens_part, starts_part)
+    trainer.feed(np.empty(0, np.int64), np.empty(0, bool), last=True)
+    assert trainer.tokens == len(tokens)
+    expected, h = [], np.zeros((1, gru.HIDDEN), np.float32)
+    for t, token in enumerate(tokens):
+        h, _ = gru._step(p, np.array([gru.START if starts[t] else tokens[t - 1]]),
+                         h * ~starts[[t], None])
+        expected.append((token, *np.round(h[0], 3)))
+    got = [(t, *np.round(s, 3)) for states, targets in seen for s, t in zip(states, targets)]
+    np.testing.assert_allclose(sorted(got), sorted(expected), atol=5e-3)
+
+
+def test_rows_wait_for_their_targets():
+    """Rows of a class stay until enough targets of it are met; the last feed leaves none behind."""
+    p = gru.initial(np.ones(gru.SIZE))
+    tokens, starts = stream(np.random.default_rng(9), np.array([300, 500]), gru.SIZE)
+    late, soon = gru.Trainer(p, ready=10 ** 6), gru.Trainer(p, ready=1)
+    for trainer in (late, soon):
+        trainer.feed(tokens, starts)
+        trainer.feed(tokens[:0], starts[:0], last=True)
+    assert late.errors == soon.errors == {}
+    for trainer in (late, soon):
+        moved = np.abs(trainer.p["word_w"] - p["word_w"]).max(axis=1)
+        assert (moved > 0).all()
+
+
+def test_logits_of_any_size_give_probabilities():
+    p, *_ = numbers(2)
+    p["word_b"][:40] = 5000
+    p["class_b"][:] = -5000
+    states = np.zeros((gru.SIZE, gru.HIDDEN))
+    logs = gru.log_probability(p, states, np.arange(gru.SIZE))
+    assert np.isfinite(logs).all() and np.exp(logs).sum() == pytest.approx(1)

@@ -7,11 +7,12 @@ of a last pass the first blocks, the last of them up to a hash, and the document
 to what is left. The tree hands these blocks to output shards: each node draws, without
 replacement, how many blocks of each source go left, so that every shard holds near its share of
 each source and the exact quotas are kept. Shards take disjoint runs of each source's permuted
-blocks; within a shard documents are ordered by a hash.
+blocks; the mix comes shard by shard, and the copies of a shard are ordered by a hash of their own.
 
 Decisions depend on hashes and counts alone, so reruns agree. Rows that agree in id and text are
 taken alike. A null or wordless text has size 0 and only comes along with whole blocks; a null
-source is a source of its own; an empty table gives an empty mix.
+source is a source of its own; an empty table gives an empty mix. Texts are whole, however long;
+a document is never cut. Other columns, of any names, come along in the mixed rows.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ from pairloom.scratch import scratch_dir
 MAX_PASSES = 3
 LEAST_BLOCKS = 256            # of each source
 BLOCK_WORDS = 4_000_000       # above that number, words of all sources to a block's index
-SHARD_WORDS = 50_000_000
+LEAST_SHARDS = 16
+SHARD_WORDS = 50_000_000      # above that number of shards, words to a shard
 SEED = 17
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -145,7 +147,7 @@ def _plan(sized: DataFrame, weights, shard_words: int, store) -> DataFrame:
     of a part, and up to which hash, or which single hash."""
     total = sized.agg(F.sum("size").alias("words")).first().words or 0
     buckets = max(LEAST_BLOCKS, -(-total // BLOCK_WORDS))
-    shards = max(1, -(-total // shard_words))
+    shards = max(LEAST_SHARDS, -(-total // shard_words))
     bucket = F.pmod(F.xxhash64(F.lit(SEED + 1), "hash"), F.lit(buckets)).alias("bucket")
     sized = sized.select("source", source_key(F.col("source")).alias("source_key"), "size",
                          "hash", bucket)
@@ -248,20 +250,29 @@ def draws(docs: DataFrame, *, weights: tuple[float, ...] = (1, 2, 3), id_col: st
         (F.col("size") * F.size("turns")).alias("taken"), "hash")
 
 
-def mix(docs: DataFrame, *, weights: tuple[float, ...] = (1, 2, 3), id_col: str = "doc_id",
-        text_col: str = "text", source_col: str = "source",
-        shard_words: int = SHARD_WORDS) -> DataFrame:
-    """The mixed rows of `docs`, with their columns, once for each time that they are taken."""
-    taken = draws(docs, weights=weights, id_col=id_col, text_col=text_col, source_col=source_col,
-                  shard_words=shard_words, carry=docs.columns)
-    return taken.select("row", F.explode("shards").alias("shard")).select("row.*")
+def _copies(docs: DataFrame, **options) -> DataFrame:
+    """row, shard: a row for each copy, shuffled within its shard, which one task holds."""
+    taken = draws(docs, carry=docs.columns, **options)
+    copies = taken.select("row", "hash", F.posexplode("shards").alias("copy", "shard"))
+    order = copy_order(F.col("hash"), F.col("copy"))
+    return (copies.withColumn("order", order).repartition("shard")
+            .sortWithinPartitions("shard", "order").select("row", "shard"))
+
+
+def copy_order(row: Column, copy: Column) -> Column:
+    """Where a copy of a row stands within its shard."""
+    return F.xxhash64(F.lit(SEED + 3), row, copy)
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """The mixed rows of `docs`, with their columns, once for each time that they are taken.
+
+    options: those of `draws`. Rows come shard by shard, shuffled within each.
+    """
+    return _copies(docs, **options).select("row.*")
 
 
 def write_shards(docs: DataFrame, path: str, **options) -> None:
     """The mix as Parquet, a folder to a shard, shuffled within each shard."""
-    taken = draws(docs, carry=docs.columns, **options)
-    copies = taken.select("row", "hash", F.posexplode("shards").alias("copy", "shard"))
-    order = F.xxhash64(F.lit(SEED + 3), "hash", "copy")
-    (copies.withColumn("order", order).repartition("shard").sortWithinPartitions("shard", "order")
-     .select("row.*", F.col("shard").alias("mix_shard"))
+    (_copies(docs, **options).select("row.*", F.col("shard").alias("mix_shard"))
      .write.partitionBy("mix_shard").parquet(path))

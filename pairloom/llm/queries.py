@@ -108,7 +108,7 @@ def op8_warc(spark, sf_dir):
 @query
 def op9_mixing(spark, sf_dir):
     return mixing.draws(table(spark, sf_dir, "documents")).select(
-        "doc_id", "size", "source_size", "target", "taken")
+        "doc_id", "size", "source_size", "target", "taken", "shards")
 
 
 @query

@@ -49,7 +49,15 @@ def test_query(spark, documents, sf_dir):
     largest = max(len(words(r.text)) for r in texts)
     assert all(abs(taken[s] - t) <= largest for s, t in want.items())
     again = QUERIES["op9_mixing"](spark, sf_dir).collect()
-    assert Counter(map(tuple, rows)) == Counter(map(tuple, again))
+    assert Counter(map(repr, rows)) == Counter(map(repr, again))
+    # Each copy has its shard, and every shard its share of the words.
+    assert all(r.taken == len(r.shards) * r.size for r in rows)
+    held = Counter()
+    for r in rows:
+        for shard in r.shards:
+            held[shard] += r.size
+    assert sorted(held) == list(range(mixing.LEAST_SHARDS))
+    assert max(held.values()) < 3 * sum(held.values()) / len(held)
 
 
 def many(spark):
@@ -115,6 +123,31 @@ def test_mixed_rows(spark, tmp_path):
     assert Counter(r.doc_id for r in written.collect()) == +want
 
 
+def in_shards(frame):
+    """The ids of each shard, in the order that the copies' hashes give."""
+    facts = mixing.draws(frame, carry=["doc_id"])
+    shards = defaultdict(list)
+    for r in facts.select("row.doc_id", mixing.F.posexplode("shards").alias("copy", "shard"),
+                          "hash").withColumn("order", mixing.copy_order(
+                              mixing.F.col("hash"), mixing.F.col("copy"))).collect():
+        shards[r.shard].append((r.order, r.doc_id))
+    return {shard: [i for _, i in sorted(rows)] for shard, rows in shards.items()}
+
+
+def test_mix_is_shuffled_within_shards(spark, tmp_path):
+    frame = many(spark)
+    shards = in_shards(frame)
+    assert len(shards) == mixing.LEAST_SHARDS
+    path = str(tmp_path / "mix")
+    mixing.write_shards(frame, path)
+    for shard, ids in shards.items():
+        found = spark.read.parquet(f"{path}/mix_shard={shard}").collect()
+        assert [r.doc_id for r in found] == ids and ids != sorted(ids)
+    # The mix itself is the shards' rows, each shard in one piece.
+    mixed = "," + ",".join(str(r.doc_id) for r in mixing.mix(frame).collect()) + ","
+    assert all("," + ",".join(map(str, ids)) + "," in mixed for ids in shards.values())
+
+
 def test_awkward_rows(awkward):
     documents = awkward.collect()
     rows = mixing.draws(awkward).collect()

@@ -7,8 +7,9 @@ times its add-one share of the counts outside the network's vocabulary. So the s
 log10 probability of the complete text, for any words.
 
 The network learns one pass over all training texts: every task learns on its own part of the
-table from the same start, by truncated backpropagation with the state carried from window to
-window, and what each block of weights has moved by is averaged by tokens over the tasks that moved
+table (`TASK_TOKENS` tokens or more, so that the weights sent stay in proportion to the input, not
+to its partitions) from the same start, by truncated backpropagation with the state carried through
+each whole text, and what each block of weights has moved by is averaged by tokens over the tasks that moved
 it. Scores carry the state through the whole text.
 
 Counts of a bounded number of frequent tokens (`HEAD`) go to every task; the others are joined
@@ -41,6 +42,7 @@ _MOST = 32                               # that a weight moves by
 _UNIT = 1 << 12                          # of tokens, in averages: sums of 10^13 tokens fit
 _BLOCK = 1 << 10                         # weights to a row
 _SLICE_BYTES = 4 << 20
+TASK_TOKENS = 4 << 20                    # that a task learns from: each sends a whole model
 
 
 def token_hashes(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -183,7 +185,8 @@ def _trained(docs: DataFrame, model: Model, text_col: str) -> gru.Params:
             yield rows([place], [weight], [np.rint(total / weight).astype(np.int32)])
 
     kind = "place bigint, weight bigint, moved binary"
-    found = (docs.select(text_col).mapInArrow(run, kind).repartition("place")
+    tasks = -(-model.total // TASK_TOKENS)
+    found = (docs.select(text_col).coalesce(max(1, tasks)).mapInArrow(run, kind).repartition("place")
              .mapInArrow(averaged, kind).select("place", "moved").collect())
     out = gru.flat(start)
     for r in found:

@@ -42,7 +42,7 @@ _MOST = 32                               # that a weight moves by
 _UNIT = 1 << 12                          # of tokens, in averages: sums of 10^13 tokens fit
 _BLOCK = 1 << 10                         # weights to a row
 _SLICE_BYTES = 4 << 20
-TASK_TOKENS = 4 << 20                    # that a task learns from: each sends a whole model
+TASK_TOKENS = 8 << 20                    # that a task learns from: each sends a whole model
 
 
 def token_hashes(words: Words) -> tuple[np.ndarray, np.ndarray]:

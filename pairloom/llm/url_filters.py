@@ -9,11 +9,12 @@ without a rule is blocked if the lower bound of its host's posterior lies above
 
 A null url, or one without `://`, has an empty host and path. Repeated rows are judged alike, and
 each counts as an outcome; an empty table gives an empty result. Other columns are not read.
-Null ids are kept.
+Null ids are kept, and a very long url is read whole.
 """
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -23,7 +24,7 @@ from pairloom.scratch import scratch_dir
 BOUND = 1.645          # standard deviations below the mean
 LIMIT = 0.5
 LEAST_STRENGTH = 0.05
-#: Suffixes of two labels; others are the last label of a host.
+#: Suffixes of several labels, unless others are given; any other is the last label of a host.
 WIDE_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.in", "co.nz")
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -59,13 +60,17 @@ def _decision(rules: list[Rule], host: Column, path: Column) -> tuple[Column, Co
     return text, verdict
 
 
-def suffix_and_domain(host: Column) -> tuple[Column, Column]:
-    """The suffix of a host, and the suffix with the label before it."""
-    last = F.substring_index(host, ".", -1)
-    wide = F.substring_index(host, ".", -2).isin(*WIDE_SUFFIXES)
-    suffix = F.when(wide, F.substring_index(host, ".", -2)).otherwise(last)
-    domain = F.when(wide, F.substring_index(host, ".", -3)).otherwise(
-        F.substring_index(host, ".", -2))
+def suffix_and_domain(host: Column, wide: Collection[str] = WIDE_SUFFIXES) -> tuple[Column, Column]:
+    """The suffix of a host, the longest of `wide` if one fits, and it with the label before it."""
+    suffix, domain = (F.substring_index(host, ".", -n) for n in (1, 2))
+    of_labels: dict[int, list[str]] = {}
+    for name in wide:
+        of_labels.setdefault(name.count(".") + 1, []).append(name)
+    for n, names in sorted(of_labels.items()):
+        own = F.substring_index(host, ".", -n)
+        fits = own.isin(*names)
+        suffix = F.when(fits, own).otherwise(suffix)
+        domain = F.when(fits, F.substring_index(host, ".", -n - 1)).otherwise(domain)
     return suffix, domain
 
 
@@ -99,7 +104,7 @@ def _posterior(groups: DataFrame, strength: float) -> DataFrame:
         "spread": F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))})
 
 
-def reputations(outcomes: DataFrame) -> DataFrame:
+def reputations(outcomes: DataFrame, wide: Collection[str] = WIDE_SUFFIXES) -> DataFrame:
     """host, mean and spread of the blocked share, from (host, blocked); null: no outcome.
 
     Each level is stored before the next joins it, so that the joins shuffle both sides
@@ -115,7 +120,7 @@ def reputations(outcomes: DataFrame) -> DataFrame:
     def level(frame: DataFrame, *keys: str) -> DataFrame:
         return frame.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
 
-    suffix, domain = suffix_and_domain(F.col("host"))
+    suffix, domain = suffix_and_domain(F.col("host"), wide)
     counted = outcomes.groupBy("host").agg(
         F.count("blocked").alias("n"),
         F.sum(F.coalesce(F.col("blocked").cast("bigint"), F.lit(0))).alias("bad"))
@@ -137,13 +142,17 @@ def reputations(outcomes: DataFrame) -> DataFrame:
 
 
 def judge(pages: DataFrame, rules: list[Rule], *, id_col: str = "page_id",
-          url_col: str = "url") -> DataFrame:
-    """One row per page: id_col, host, path, rule (null: none), verdict, blocked_share."""
+          url_col: str = "url", wide: Collection[str] = WIDE_SUFFIXES) -> DataFrame:
+    """One row per page: id_col, host, path, rule (null: none), verdict, blocked_share.
+
+    wide: suffixes of several labels, such as those of a public list, in lower case.
+    """
     host, path = parse(F.col(url_col))
     parsed = pages.select(F.col(id_col), host.alias("host"), path.alias("path"))
     rule, decided = _decision(rules, F.col("host"), F.col("path"))
     parsed = parsed.withColumns({"rule": rule, "decided": decided})
-    known = reputations(parsed.select("host", (F.col("decided") == "block").alias("blocked")))
+    known = reputations(parsed.select("host", (F.col("decided") == "block").alias("blocked")),
+                        wide)
     low = F.col("mean") - F.lit(BOUND) * F.col("spread")
     verdict = F.coalesce("decided", F.when(low > LIMIT, F.lit("block")).otherwise(F.lit("allow")))
     return parsed.join(known, "host", "left").select(

@@ -157,6 +157,34 @@ def test_reputations(spark):
     assert found["bad.net"][0] < mean and found["new.org"][1] > spread
 
 
+def test_suffixes_are_a_parameter(spark):
+    hosts = ["a.one.gov.uk", "two.gov.uk", "gov.uk", "x.y.city.area.jp", "y.area.jp", "plain.org",
+             "org", ""]
+    frame = spark.createDataFrame([(h,) for h in hosts], "host string")
+
+    def split(*wide):
+        found = url_filters.suffix_and_domain(F.col("host"), *wide)
+        return {r.host: (r.suffix, r.domain) for r in frame.select(
+            "host", found[0].alias("suffix"), found[1].alias("domain")).collect()}
+    wide = split(["gov.uk", "area.jp", "city.area.jp"])
+    assert wide["a.one.gov.uk"] == ("gov.uk", "one.gov.uk")
+    assert wide["two.gov.uk"] == ("gov.uk", "two.gov.uk")
+    assert wide["gov.uk"] == ("gov.uk", "gov.uk")
+    assert wide["x.y.city.area.jp"] == ("city.area.jp", "y.city.area.jp")
+    assert wide["y.area.jp"] == ("area.jp", "y.area.jp")
+    assert wide["plain.org"] == ("org", "plain.org")
+    assert wide["org"] == ("org", "org") and wide[""] == ("", "")
+    assert split()["a.one.gov.uk"] == split([])["a.one.gov.uk"] == ("uk", "gov.uk")
+
+    # Of two sites below a wide suffix, one that is blocked says nothing much of the other.
+    outcomes = [("one.gov.uk", True)] * 40 + [(f"h{i}.gov.uk", False) for i in range(40)]
+    outcomes += [("two.gov.uk", None)]
+    seen = spark.createDataFrame(outcomes, "host string, blocked boolean")
+    means = [{r.host: r["mean"] for r in url_filters.reputations(seen, names).collect()}["two.gov.uk"]
+             for names in ([], ["gov.uk"])]
+    assert means[0] != means[1] and all(0 < m < 1 for m in means)
+
+
 def test_no_pages(spark):
     none = spark.createDataFrame([], "page_id bigint, url string")
     assert url_filters.judge(none, URL_RULES).count() == 0

@@ -15,6 +15,7 @@ from ..settings import MOST_PARTITIONS, planned_bytes, sized_for
 from ..sources import (
     Limit,
     check_limits,
+    few_partitions,
     latest_partition,
     observed_metrics,
     publish_day,
@@ -38,8 +39,9 @@ def split_bare(labelled: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     """Pairs with ids, pairs without, and how many the latter are: one pass over the sources."""
     spark, folder = labelled.sparkSession, scratch_dir(labelled.sparkSession, "labelled")
     seen = Observation("bare")
-    (labelled.withColumn("_bare", is_bare()).observe(seen, F.count_if("_bare").alias("bare"))
-     .write.partitionBy("_bare").parquet(folder))
+    with few_partitions(spark):
+        (labelled.withColumn("_bare", is_bare()).observe(seen, F.count_if("_bare").alias("bare"))
+         .write.partitionBy("_bare").parquet(folder))
     stored = spark.read.schema(StructType(
         [*LABELLED.fields, StructField("_bare", BooleanType())])).parquet(folder)
     return (stored.where("not _bare").drop("_bare"), stored.where("_bare").drop("_bare"),

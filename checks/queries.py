@@ -614,7 +614,7 @@ def union_classes(spark, sf):
 def _families(spark, sf):
     matches = library_matches(spark, sf)
     pair_feeds = feeds(spark, sf)
-    return [*(matches.where(F.col("segment") == s) for s in (GROCERY, PETS, OFFICE)),
+    return [(matches, [F.col("segment") == s for s in (GROCERY, PETS, OFFICE)]),
             review_matches(spark, sf),
             *(plans.feed_matches(pair_feeds[f], f) for f in ("transitive", "exact_desc", "upc"))]
 

@@ -32,14 +32,16 @@ def _joined(*parts: Column) -> Column:
 def uuid_parts(uuid: Column | str) -> Column:
     """The first four parts; those that are missing are null.
 
-    They are cut out by position: `F.split` would compile its pattern anew for every row.
+    They are cut out by position: `F.split` would compile its pattern anew for every row. The array
+    goes through a slice of all of it, so that it is made once to a row. The optimizer puts the elements
+    of a plain array in the place of each use, where they would be cut again.
     """
     uuid = _column(uuid)
     heads = [F.substring_index(uuid, SEPARATOR, n) for n in range(1, _PARTS + 1)]
-    ends = [F.length(head) for head in heads]
-    return F.array(heads[0], *[
-        F.when(ends[i] > ends[i - 1], heads[i].substr(ends[i - 1] + len(SEPARATOR) + 1, ends[i]))
-        for i in range(1, _PARTS)])
+    ends = [F.octet_length(head) for head in heads]
+    return F.slice(F.array(heads[0], *[
+        F.when(ends[i] > ends[i - 1], F.substring_index(heads[i], SEPARATOR, -1))
+        for i in range(1, _PARTS)]), 1, _PARTS)
 
 
 def product_uuid(upc: Column | str, sku: Column | str, source_store: Column | str) -> Column:

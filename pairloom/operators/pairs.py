@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from ..functions import canonical, replace_all, turned
 from ..rules import ALIASES, REJECT
@@ -22,6 +23,8 @@ from ..scratch import scratch_dir
 from .projections import add_stores
 
 Sides = Sequence[tuple[str, str]]
+#: A frame, or one that several families are cut from, and the condition of each.
+Family = DataFrame | tuple[DataFrame, Sequence[Column]]
 
 
 def canonical_pair(df: DataFrame, a: str = "uuid_a", b: str = "uuid_b",
@@ -68,6 +71,18 @@ def _ranked(order: Sequence[str], columns: Sequence[str],
     return first + [F.col(c) for c in shown]
 
 
+def _hash_first(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """Grouping columns that give the groups of the keys, a hash of them first.
+
+    The least struct is found by sorting on the grouping columns, before the shuffle and after it. Keys
+    often begin alike; a number in front decides nearly all comparisons. Keys of other types, as text
+    that compares by a collation, are grouped as they are.
+    """
+    if all(df.schema[k].dataType == StringType() for k in keys):
+        return [F.xxhash64(*keys).alias("_key_hash"), *map(F.col, keys)]
+    return [F.col(k) for k in keys]
+
+
 def dedupe_pairs(df: DataFrame, keys: Sequence[str] = JOIN_KEYS,
                  order: Sequence[str] = ("match_timestamp",),
                  undirected: bool = False, sides: Sides | None = None,
@@ -84,7 +99,7 @@ def dedupe_pairs(df: DataFrame, keys: Sequence[str] = JOIN_KEYS,
     if not others:
         return df.select(*columns).distinct()
     best = F.min(F.struct(*_ranked(order, others, aliases))).alias("_best")
-    return (df.groupBy(*keys).agg(best)
+    return (df.groupBy(*_hash_first(df, keys)).agg(best)
             .select(*[c if c in keys else F.col("_best")[c].alias(c) for c in columns]))
 
 
@@ -168,12 +183,29 @@ def combine(frames: Sequence[DataFrame]) -> DataFrame:
                             for i, f in enumerate(frames)], LABELLED)
 
 
-def _by_position(frames: Sequence[DataFrame]) -> DataFrame:
-    return combine([f.drop("priority") for f in frames])
-
-
-def combine_matches(frames_in_priority_order: Sequence[DataFrame]) -> DataFrame:
-    """Union of match families; the position of its frame is a row's priority."""
+def _by_position(frames: Sequence[Family]) -> DataFrame:
+    placed, position = [], 0
+    for frame in frames:
+        if isinstance(frame, DataFrame):
+            placed.append(frame.withColumn("priority", F.lit(position)))
+            position += 1
+            continue
+        rows, (first, *others) = frame
+        place = F.when(first, F.lit(position))
+        for i, condition in enumerate(others, position + 1):
+            place = place.when(condition, F.lit(i))
+        placed.append(rows.withColumn("priority", place.otherwise(F.lit(-1))).where("priority >= 0"))
+        position += 1 + len(others)
+    return combine(placed)
+
+
+def combine_matches(frames_in_priority_order: Sequence[Family]) -> DataFrame:
+    """Union of match families; the position of its frame is a row's priority.
+
+    Families that are cut from one frame may be given as that frame and their conditions, in order,
+    each of which takes a position. The frame is then computed once for all of them. A row belongs
+    to the first family whose condition holds, and to none otherwise.
+    """
     return _by_position(frames_in_priority_order)
 
 
@@ -212,7 +244,7 @@ def _settle(labelled: DataFrame, payload: Sequence[str], undirected: bool) -> Da
     if undirected:
         pairs = orient_pairs(pairs, sides=[s for s in SIDES if s[0] in columns])
     best = F.min(F.struct(*_ranked(("priority", "match_timestamp"), payload)))
-    groups = pairs.groupBy(*JOIN_KEYS, _is_reject().alias("_reject")).agg(best.alias("_best"))
+    groups = pairs.groupBy(*_hash_first(pairs, JOIN_KEYS), _is_reject().alias("_reject")).agg(best.alias("_best"))
     return groups.select(*JOIN_KEYS, *[F.col("_best")[c].alias(c) for c in payload])
 
 
@@ -240,7 +272,7 @@ def _settle_pruned(labelled: DataFrame, payload: Sequence[str], undirected: bool
     directions = {"forward": ~F.col("_turned"), "back": F.col("_turned")}
     if undirected:
         del directions["back"]
-    groups = pairs.groupBy("_low", "_high").agg(*[
+    groups = pairs.groupBy(*_hash_first(pairs, ("_low", "_high"))).agg(*[
         F.min(F.when(kind & direction, row)).alias(f"{k}_{d}")
         for k, kind in kinds.items() for d, direction in directions.items()])
 

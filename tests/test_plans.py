@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.queries import QUERIES
+from pairloom import functions as ids
 from pairloom import plans, sources
 from pairloom.operators import (
+    add_keys,
     combine_matches,
     combine_rejects,
     dedupe_pairs,
@@ -53,6 +55,41 @@ def test_warehouse_shuffles_neither_stores_nor_more_than_one_row(warehouse_input
     assert "source_store" not in plan.split("partial_min(")[1].split("])")[0]
 
 
+def test_parts_of_uuids_are_cut_once(spark):
+    df = spark.createDataFrame([], "uuid_a string, uuid_b string")
+
+    def cuts(frame):
+        return frame._jdf.queryExecution().optimizedPlan().toString().count("substring_index(")
+    alone = df.select(ids.uuid_parts("uuid_a").alias("a"), ids.uuid_parts("uuid_b").alias("b"))
+    assert cuts(add_keys(df)) == cuts(alone)
+
+
+def test_aggregations_sort_by_a_hash_of_the_keys(warehouse_inputs, spark):
+    for options in ({}, {"prune": True}):
+        plan = plan_of(plans.warehouse_from_sources(*warehouse_inputs.values(), "2024-01-05",
+                                                    **options))
+        sorts = re.findall(r"Sort \[(\w+#\d+)", plan)
+        assert len(sorts) == 2
+        assert set(sorts) <= set(re.findall(r"xxhash64\([^)]*\) AS (\w+#\d+)", plan))
+    df = spark.createDataFrame([("a", "x", 2), ("A", "x", 1), (None, "x", 3), (None, "x", 4)],
+                               "k string, m string, v int")
+    for kind, want in (("string", [1, 2, 3]), ("string collate UTF8_LCASE", [1, 3])):
+        rows = dedupe_pairs(df.withColumn("k", F.col("k").cast(kind)), keys=("k", "m"), order=["v"])
+        assert sorted(r.v for r in rows.collect()) == want
+
+
+def test_families_of_one_frame_are_read_once(spark, sf_dir):
+    assert scans(plan_of(QUERIES["combine_matches"](spark, sf_dir))) == 8
+    assert scans(plan_of(QUERIES["matches_and_rejects"](spark, sf_dir))) == 13
+    rows = spark.createDataFrame([{"uuid_a": c, "segment": s} for c in "ab"
+                                  for s in ("x", "y", "z", None)], PAIR)
+    conditions = [F.col("segment") == s for s in ("y", "x")]
+    apart = combine_matches([rows.limit(0), *(rows.where(c) for c in conditions), rows])
+    together = combine_matches([rows.limit(0), (rows, conditions), rows])
+    assert sorted(map(str, together.collect())) == sorted(map(str, apart.collect()))
+    assert together.schema == apart.schema
+
+
 def test_one_pass_breaks_ties_like_step_by_step(spark):
     """Stores that differ by an alias in mixed case, and a uuid pair in two domains."""
     def review(store, score, answer):

@@ -116,3 +116,24 @@ def test_keep_one_of_near_copies_without_ids(spark, tmp_path):
     docs = spark.read.parquet(str(tmp_path / "t"))
     texts = [r.text for r in jaccard_join.keep_one(docs, n=5, percent=80).collect()]
     assert len(texts) == 2 and rows[2][1] in texts
+
+
+def test_index_rows_are_few_and_narrow(spark, tmp_path, monkeypatch):
+    """Tokens of few classes take no part in the first round, and parity bits go to pairs, not tokens."""
+    rng = random.Random(5)
+    base = [[f"w{rng.randrange(10 ** 6)}" for _ in range(60)] for _ in range(40)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(base)]
+    rows += [(100 + i, " ".join([*w[:-1], "other"])) for i, w in enumerate(base)]
+    stored, store = {}, jaccard_join._Join.store
+
+    def recorded(self, frame, name):
+        out = store(self, frame, name)
+        stored[name] = (set(out.columns), out.count())
+        return out
+    monkeypatch.setattr(jaccard_join._Join, "store", recorded)
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    found = jaccard_join.components(spark.read.parquet(f"{tmp_path}/docs"))
+    assert sorted(map(str, (tuple(r) for r in found.collect()))) == expected(rows)
+    assert stored["few"][1] > 0 and stored["many"][1] == stored["placed"][1] == 0
+    wide = {n for n, (columns, _) in stored.items() if columns & set(jaccard_join._BITS)}
+    assert wide == {"sketches", "classes"}

@@ -1,6 +1,8 @@
 import random
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import DOCUMENTS, words
 
@@ -119,7 +121,7 @@ def test_keep_one_of_near_copies_without_ids(spark, tmp_path):
 
 
 def test_index_rows_are_few_and_narrow(spark, tmp_path, monkeypatch):
-    """Tokens of few classes take no part in the first round, and parity bits go to pairs, not tokens."""
+    """Tokens of few classes are apart from the others, and parity bits go to pairs, not tokens."""
     rng = random.Random(5)
     base = [[f"w{rng.randrange(10 ** 6)}" for _ in range(60)] for _ in range(40)]
     rows = [(i, " ".join(w)) for i, w in enumerate(base)]
@@ -135,5 +137,28 @@ def test_index_rows_are_few_and_narrow(spark, tmp_path, monkeypatch):
     found = jaccard_join.components(spark.read.parquet(f"{tmp_path}/docs"))
     assert sorted(map(str, (tuple(r) for r in found.collect()))) == expected(rows)
     assert stored["few"][1] > 0 and stored["many"][1] == stored["placed"][1] == 0
-    wide = {n for n, (columns, _) in stored.items() if columns & set(jaccard_join._BITS)}
+    wide = {n for n, (columns, _) in stored.items() if any(c.startswith("bits") for c in columns)}
     assert wide == {"sketches", "classes"}
+
+
+def test_parity_bits_grow_with_the_set():
+    """Long texts that are not alike differ in more bits than they may; alike ones never do."""
+    rng = random.Random(6)
+    long = [f"w{i}" for i in range(3000)]
+    half = [w if i % 100 < 75 else f"x{i}" for i, w in enumerate(long)]
+    close = [w if rng.random() > 0.01 else f"y{i}" for i, w in enumerate(long)]
+    texts = pa.array([" ".join(t) for t in (long, half, close, long[:2800])])
+    sets = jaccard_join.TokenSets(texts, 4)
+    bits = sets.parities().to_pylist()
+    assert [len(b) * 8 for b in bits] == [4096] * 4
+    tokens = np.split(sets.tokens, sets.begin[1:])
+    for i in range(4):
+        for j in range(4):
+            differ = len(np.setxor1d(tokens[i], tokens[j]))
+            assert jaccard_join._differ(bits[i], bits[j]) <= differ
+            both = len(tokens[i]) + len(tokens[j])
+            passes = 185 * (both - jaccard_join._differ(bits[i], bits[j])) >= 170 * both
+            assert passes == jaccard_join._similar(tokens[i], tokens[j], 85)
+    short = jaccard_join.TokenSets(pa.array([" ".join(long[:250]), " ".join(long[:290])]), 4)
+    a, b = short.parities().to_pylist()
+    assert (len(a), len(b)) == (32, 64) and jaccard_join._differ(a, b) <= 40

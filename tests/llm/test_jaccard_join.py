@@ -162,3 +162,31 @@ def test_parity_bits_grow_with_the_set():
     short = jaccard_join.TokenSets(pa.array([" ".join(long[:250]), " ".join(long[:290])]), 4)
     a, b = short.parities().to_pylist()
     assert (len(a), len(b)) == (32, 64) and jaccard_join._differ(a, b) <= 40
+
+
+def test_unlike_pairs_of_a_large_group_make_no_rows(spark, monkeypatch):
+    """All words of these texts are in many others; parity bits tell the texts apart at once."""
+    rng = random.Random(11)
+    words = [f"w{k}" for k in range(90)]
+    texts = [" ".join(rng.sample(words, 40)) for _ in range(150)]
+    texts += [t + " end" for t in texts[:20]]
+    rows = list(enumerate(texts))
+    joined, bits_allow = [], jaccard_join._Join.bits_allow
+
+    def counted(self, pairs, classes):
+        joined.append(pairs.count())
+        return bits_allow(self, pairs, classes)
+    monkeypatch.setattr(jaccard_join._Join, "bits_allow", counted)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert found(frame, n=1) == expected(rows, 1)
+    assert sum(joined) < 5 * len(texts)
+
+
+def test_folded_parity_bits():
+    """A fold differs in no more bits than the tokens do, and as the parity of a small set does."""
+    texts = [" ".join(f"w{i}" for i in range(n)) for n in (0, 3, 40, 250, 259, 700, 3000)]
+    sets = jaccard_join.TokenSets(pa.array(texts), 4)
+    folds = [np.array(f, np.int64).tobytes() for f in sets.folds().to_pylist()]
+    assert {len(f) for f in folds} == {jaccard_join._BITS // 8}
+    for bits, fold in zip(sets.parities().to_pylist(), folds):
+        assert jaccard_join._differ(bits, fold) == 0

@@ -1,11 +1,14 @@
 """What keeps time and disk in proportion to the input: no copy is wider, sorted or computed twice."""
 
+import datetime
 import glob
 
 import pytest
+from oracle import connect, difference
 from pyspark.sql import DataFrameWriter, functions as F
 
-from checks import queries
+from checks import fixtures, queries
+from checks.oracles import ORACLES
 from pairloom import functions as ids
 from pairloom import plans, sources
 from pairloom.schema import LABELLED, REVIEW, WAREHOUSE
@@ -128,3 +131,45 @@ def test_pairs_are_stored_without_a_shuffle(spark, sf_dir, fresh, monkeypatch):
     monkeypatch.setattr(sources.sinks, "rebalance", lambda df, *_: spread.append(df) or df)
     table = queries._pairs_table(spark, sf_dir)
     assert not spread and spark.table(table).count() == queries._pairs(spark, sf_dir).count()
+
+
+# ---- Large order keys -------------------------------------------------------------------
+
+DATE = "CAST(1600000000 + l_orderkey * 60 AS INT)"
+LAST_KEY = (2**31 - 1 - 1600000000) // 60
+
+
+@pytest.fixture(scope="module")
+def large_keys(spark, tmp_path_factory):
+    """A folder with a `lineitem` of keys on both sides of the last one whose date is an INT."""
+    folder = tmp_path_factory.mktemp("large_keys")
+    key = F.when(F.col("id") % 3 == 0, F.col("id") * 90_001).otherwise(LAST_KEY - 150 + F.col("id"))
+    (spark.range(0, 600, 1, 1).select(
+        key.alias("l_orderkey"), (F.col("id") % 70).alias("l_partkey"),
+        (F.col("id") % 24).alias("l_suppkey"), (F.col("id") % 7 + 1).cast("int").alias("l_linenumber"),
+        (F.col("id") % 50 + 1).cast("double").alias("l_quantity"),
+        (F.col("id") % 11 / 100).alias("l_discount"), (F.col("id") % 9 / 100).alias("l_tax"),
+        F.when(F.col("id") % 3 == 0, "R").otherwise("N").alias("l_returnflag"),
+        F.when(F.col("id") % 2 == 0, "O").otherwise("F").alias("l_linestatus"),
+        F.lit(datetime.datetime(1996, 3, 4)).alias("l_shipdate"))
+     .write.parquet(f"{folder}/spark"))
+    (part,) = glob.glob(f"{folder}/spark/part-*.parquet")
+    (folder / "lineitem.parquet").write_bytes(open(part, "rb").read())
+    return str(folder)
+
+
+def test_dates_beyond_their_type_are_null(spark, large_keys):
+    rows = spark.read.parquet(f"{large_keys}/lineitem.parquet")
+    dates = [1600000000 + r.l_orderkey * 60 for r in rows.collect()]
+    found = [r.match_date for r in fixtures.library(spark, large_keys).collect()]
+    assert sorted(f for f in found if f is not None) == sorted(d for d in dates if d < 2**31)
+    assert 0 < found.count(None) == sum(d >= 2**31 for d in dates)
+
+
+@pytest.mark.parametrize("name", ["publish_day", "write_split", "write_split_rest",
+                                  "warehouse_without_bare", "write_warehouse_csv"])
+def test_large_order_keys(spark, large_keys, fresh, name):
+    sql = ORACLES[name]
+    assert DATE in sql
+    got = queries.QUERIES[name](spark, large_keys)
+    assert difference(connect(large_keys), sql.replace(DATE, f"TRY_{DATE}"), got) is None

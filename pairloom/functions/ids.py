@@ -36,12 +36,17 @@ def uuid_parts(uuid: Column | str) -> Column:
     goes through a slice of all of it, so that it is made once to a row. The optimizer puts the elements
     of a plain array in the place of each use, where they would be cut again.
     """
+    return F.slice(F.array(*_cut(uuid, _PARTS)), 1, _PARTS)
+
+
+def _cut(uuid: Column | str, count: int) -> list[Column]:
+    """The first `count` parts; those that are missing are null."""
     uuid = _column(uuid)
-    heads = [F.substring_index(uuid, SEPARATOR, n) for n in range(1, _PARTS + 1)]
+    heads = [F.substring_index(uuid, SEPARATOR, n) for n in range(1, count + 1)]
     ends = [F.octet_length(head) for head in heads]
-    return F.slice(F.array(heads[0], *[
+    return [heads[0], *[
         F.when(ends[i] > ends[i - 1], F.substring_index(heads[i], SEPARATOR, -1))
-        for i in range(1, _PARTS)]), 1, _PARTS)
+        for i in range(1, count)]]
 
 
 def product_uuid(upc: Column | str, sku: Column | str, source_store: Column | str) -> Column:
@@ -60,10 +65,13 @@ def is_placeholder(value: Column | str) -> Column:
     return _column(value).isin(*PLACEHOLDERS)
 
 
-def _key_ids(parts: Column) -> tuple[Column, Column]:
+def _cleaned(upc: Column, sku: Column) -> tuple[Column, Column]:
     """UPC without leading zeros, and SKU, both lower-cased."""
-    return (F.lower(F.ltrim(F.get(parts, F.lit(0)), F.lit("0"))),
-            F.lower(F.get(parts, F.lit(1))))
+    return F.lower(F.ltrim(upc, F.lit("0"))), F.lower(sku)
+
+
+def _key_ids(parts: Column) -> tuple[Column, Column]:
+    return _cleaned(F.get(parts, F.lit(0)), F.get(parts, F.lit(1)))
 
 
 def key_from_parts(parts: Column, prefer: str | Column = "upc") -> Column:
@@ -93,8 +101,13 @@ def join_key(uuid: Column | str, prefer: str | Column = "upc") -> Column:
 
 
 def lacks_ids(uuid: Column | str) -> Column:
-    """Whether both ids are placeholders, so that the join key names a store, not a product."""
-    upc, sku = _key_ids(uuid_parts(uuid))
+    """Whether both ids are placeholders, so that the join key names a store, not a product.
+
+    Only the two ids are cut out, and the SKU only where the UPC is a placeholder. A filter on this is
+    moved to the sources, where each use of the uuid builds it anew; with all parts that would outgrow
+    a method of the virtual machine.
+    """
+    upc, sku = _cleaned(*_cut(uuid, 2))
     return is_placeholder(upc) & is_placeholder(sku)
 
 

@@ -173,3 +173,26 @@ def test_large_order_keys(spark, large_keys, fresh, name):
     assert DATE in sql
     got = queries.QUERIES[name](spark, large_keys)
     assert difference(connect(large_keys), sql.replace(DATE, f"TRY_{DATE}"), got) is None
+
+
+# ---- Shuffles, copies and code ----------------------------------------------------------
+
+def test_a_filter_on_bare_pairs_is_compiled(spark, sf_dir, conf):
+    conf({"spark.sql.codegen.fallback": "false"})
+    assert not queries.QUERIES["warehouse_without_bare"](spark, sf_dir).isEmpty()
+
+
+def test_ids_are_those_of_the_parts(spark):
+    uuids = ["-<>na<>s<>s", "000<>NULL<>s<>s", "-<>A<>s<>s", "1<>-<>s<>s", "01<>-<>s<>s", "A<>-<>s<>s",
+             "-", "-<>", "<>", "", "-<>na", "-<>na<>s<>s<>x", None]
+    df = spark.createDataFrame([(u,) for u in uuids], "u string")
+    placeholders = {"", "-", "0", "1", "na", "null"}
+
+    def bare(uuid):
+        if uuid is None:
+            return None
+        upc, sku = [*uuid.lower().split("<>"), None][:2]
+        if upc.lstrip("0") not in placeholders:
+            return False
+        return None if sku is None else sku in placeholders
+    assert [r[0] for r in df.select(ids.lacks_ids("u")).collect()] == [bare(u) for u in uuids]

@@ -22,6 +22,7 @@ from .scans import (
     stage_json,
 )
 from .sinks import (
+    COLUMNAR,
     PACKED,
     few_partitions,
     order_for_lookup,
@@ -33,7 +34,7 @@ from .sinks import (
 )
 
 __all__ = [
-    "Limit", "LimitBreached", "PACKED", "check_limits", "count_metrics", "count_rows",
+    "COLUMNAR", "Limit", "LimitBreached", "PACKED", "check_limits", "count_metrics", "count_rows",
     "drop_old_versions", "few_partitions", "latest_partition", "latest_values", "next_run_number", "observed_metrics", "observed_rows",
     "order_for_lookup", "pack_small_files", "pair_metrics", "publish_day", "read_warehouse",
     "rebalance", "replace_day", "scan_domains", "scan_json_dir", "scan_partitioned", "scan_table",

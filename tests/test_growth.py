@@ -11,7 +11,7 @@ from checks import fixtures, queries
 from checks.oracles import ORACLES
 from pairloom import functions as ids
 from pairloom import plans, sources
-from pairloom.schema import LABELLED, REVIEW, WAREHOUSE
+from pairloom.schema import LABELLED, LOAD_DATE, REVIEW, WAREHOUSE
 from pairloom.settings import METHOD_LIMIT, compiled_session
 
 LIMIT = "spark.sql.codegen.hugeMethodLimit"
@@ -196,3 +196,41 @@ def test_ids_are_those_of_the_parts(spark):
             return False
         return None if sku is None else sku in placeholders
     assert [r[0] for r in df.select(ids.lacks_ids("u")).collect()] == [bare(u) for u in uuids]
+
+
+def test_plain_scans(spark, tmp_path):
+    spark.range(9).withColumn("t", F.lit("x")).write.parquet(f"{tmp_path}/t")
+    read = spark.read.parquet(f"{tmp_path}/t")
+    plain = sources.scans.is_plain_scan
+    assert plain(read) and plain(read.select("t", F.col("id").alias("n"), F.lit(1)).drop("t"))
+    for other in (read.where("id > 1"), read.select(F.upper("t")), read.select(F.rand()),
+                  read.distinct(), read.union(read), spark.range(3), read.limit(2)):
+        assert not plain(other)
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_rows_of_files_are_not_stored_for_a_lookup(spark, tmp_path, monkeypatch, stored):
+    staged, scratch = [], sources.sinks.scratch_dir
+    monkeypatch.setattr(sources.sinks, "scratch_dir",
+                        lambda spark, name: staged.append(name) or scratch(spark, name))
+    table = f"looked_up_{int(stored)}"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    rows = frame(spark, WAREHOUSE, 500, match_timestamp=F.col("id"),
+                 sku_uuid_a=F.format_string("%03d", F.col("id") * 7 % 500))
+    rows.write.parquet(f"{tmp_path}/rows")
+    read = spark.read.schema(WAREHOUSE).parquet(f"{tmp_path}/rows")
+    if stored:
+        read = read.where("match_timestamp >= 0")
+    try:
+        counted = sources.publish_day(read, table, "2024-01-05", path=f"{tmp_path}/t",
+                                      lookup=["sku_uuid_a", "day"])
+        got = spark.table(table).collect()
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+    assert staged == ["lookup"] * stored and counted["row_count"] == 500
+    assert sorted(r.match_timestamp for r in got) == [*range(500)]
+    assert {tuple(r[c] for c in LOAD_DATE) for r in got} == {("2024", "01", "05")}
+    files = glob.glob(f"{tmp_path}/t/_versions/**/part-*", recursive=True)
+    for file in files:
+        keys = [r.sku_uuid_a for r in spark.read.parquet(file).collect()]
+        assert keys == sorted(keys) and file.endswith(".zstd.parquet")

@@ -234,3 +234,24 @@ def test_rows_of_files_are_not_stored_for_a_lookup(spark, tmp_path, monkeypatch,
     for file in files:
         keys = [r.sku_uuid_a for r in spark.read.parquet(file).collect()]
         assert keys == sorted(keys) and file.endswith(".zstd.parquet")
+
+
+def test_targets_of_a_split_are_not_sorted(spark, tmp_path, monkeypatch):
+    seen, write = [], sources.sinks.write_warehouse
+
+    def spy(df, *args, **kwargs):
+        seen.append(int(df.sparkSession.conf.get(WRITERS)))
+        return write(df, *args, **kwargs)
+
+    monkeypatch.setattr(sources.sinks, "write_warehouse", spy)
+    own = spark.conf.get(WRITERS)
+    rows = frame(spark, WAREHOUSE, 90, match_timestamp=F.col("id"),
+                 day=F.format_string("%02d", F.col("id") % 9 + 1),
+                 type=F.when(F.col("id") % 2 == 0, "a").otherwise("b"))
+    sources.write_split(rows, {("a",): f"{tmp_path}/a"}, rest=f"{tmp_path}/b")
+    assert len(seen) == 2 and min(seen) > 1 and spark.conf.get(WRITERS) == own
+    for i, target in enumerate("ab"):
+        got = sources.read_warehouse(spark, f"{tmp_path}/{target}").collect()
+        assert sorted((r.match_timestamp, r.day) for r in got) == [
+            (n, f"{n % 9 + 1:02d}") for n in range(i, 90, 2)]
+        assert glob.glob(f"{tmp_path}/{target}/*/*/*/*.zstd.parquet")
